@@ -57,7 +57,7 @@ def main(argv: list[str]) -> int:
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     wanted = argv[1:] or list(QUERIES)
     names = [n for n in QUERIES if any(n == w or n.startswith(w) for w in wanted)]
-    spark = build_session("compare", "local[8]", **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"})
+    spark = build_session("compare", "local[8]", **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     failed = []

@@ -73,4 +73,4 @@ def clean_name(name: Column) -> Column:
 
 def name_within(full: Column, part: Column) -> Column:
     """``full LIKE '%' || part || '%'`` with ``part`` read as a pattern."""
-    return full.like(F.concat(F.lit("%"), part, F.lit("%")))
+    return F.like(full, F.concat(F.lit("%"), part, F.lit("%")))

@@ -2,9 +2,9 @@
 
 A pair is two rows of one event, ordered by entity id. Its statistics are needed per (class of the
 first, class of the second, same team or not), and all of them are sums of products of something of
-the first row with something of the second. So for a row it is enough to know, per class, the plain
-sums over the rows with a smaller id: running sums in a window. The work is rows times classes
-instead of rows times rows.
+the first row with something of the second. So for a row it is enough to know, per class and team of its
+event, the plain sums over the rows with a smaller id: running sums in a window. The work is rows
+times classes (a few dozen, for the two teams of an event) instead of rows times rows.
 
 An event may hold any share of the table. Ids are therefore cut into ranges of ``2**bits``: first
 come pairs inside one range of one event, then the ranges are summed up and compared with each
@@ -38,36 +38,23 @@ def _inside_ranges(atoms: DataFrame, bits: int) -> DataFrame:
     """Products for the pairs whose ids share a range of the next size but differ at this one."""
     groups = ["event", "_range"]
     ranged = atoms.withColumn("_range", F.shiftright("id", bits))
-    classes = F.collect_set("cls").over(Window.partitionBy(*groups))
-    grid = ranged.withColumn("_classes", classes).withColumn("other", F.explode("_classes")).drop("_classes")
-    mine = F.col("cls") == F.col("other")
-    before = lambda *more: (
-        Window.partitionBy(*groups, "other", *more).orderBy("id").rangeBetween(Window.unboundedPreceding, -1)
+    sides = F.collect_set(F.struct("cls", "team")).over(Window.partitionBy(*groups))
+    grid = (
+        ranged.withColumn("_sides", sides)
+        .withColumn("_side", F.explode("_sides"))
+        .select(*groups, "id", "team", "cls", *_OWN, "_side.cls", "_side.team")
+        .toDF(*groups, "id", "team", "cls", *_OWN, "cls_1", "team_1")
     )
-    known_team = F.col("team").isNotNull()
-    for c in _OWN:
-        part = F.when(mine, F.col(c)).otherwise(F.lit(0).cast("double"))
-        everyone = F.coalesce(F.sum(part).over(before()), F.lit(0.0))
-        team = F.coalesce(F.sum(part).over(before("team")), F.lit(0.0))
-        grid = grid.withColumn(f"_all_{c}", everyone).withColumn(
-            f"_same_{c}", F.when(known_team, team).otherwise(F.lit(0.0))
-        )
-    first = lambda relation: F.struct(
-        F.lit(relation).alias("team_relationship"),
-        *[
-            (
-                F.col(f"_same_{c}")
-                if relation == SAME
-                else F.col(f"_all_{c}") - F.col(f"_same_{c}")
-            ).alias(f"f_{c}")
-            for c in _OWN
-        ],
+    before = (
+        Window.partitionBy(*groups, "cls_1", "team_1").orderBy("id").rangeBetween(Window.unboundedPreceding, -1)
     )
+    mine = (F.col("cls") == F.col("cls_1")) & F.col("team").eqNullSafe(F.col("team_1"))
     pairs = grid.select(
-        F.col("other").alias("cls_1"),
+        "cls_1",
         F.col("cls").alias("cls_2"),
+        F.when(F.col("team") == F.col("team_1"), SAME).otherwise(OPPONENT).alias("team_relationship"),
         *_OWN,
-        F.inline(F.array(first(SAME), first(OPPONENT))),
+        *[F.sum(F.when(mine, F.col(c)).otherwise(F.lit(0.0))).over(before).alias(f"f_{c}") for c in _OWN],
     ).filter(F.col("f_n") > 0)
     return pairs.groupBy("cls_1", "cls_2", "team_relationship").agg(
         F.sum(F.col("f_n") * F.col("n")).alias("pairs"),
@@ -94,10 +81,12 @@ def pair_sums(
     classes: Sequence[str],
     value: Column,
     bits: int = BITS,
+    ids: DataFrame | None = None,
 ) -> DataFrame:
     """Sums over all pairs, per class of the first, class of the second and team relationship.
 
-    Class columns come back as ``<name>_1`` and ``<name>_2``. Counts are exact up to 2**53.
+    Class columns come back as ``<name>_1`` and ``<name>_2``. Counts are exact up to 2**53. The
+    range of ids is looked up first; ``ids`` may name a cheaper frame that covers all of them.
     """
     value = value.cast("double")
     known = F.when(value.isNotNull(), 1.0).otherwise(0.0)
@@ -111,7 +100,7 @@ def pair_sums(
         F.coalesce(value, F.lit(0.0)).alias("total"),
         F.coalesce(value * value, F.lit(0.0)).alias("squares"),
     )
-    shifts = _levels(atoms, "id", bits)
+    shifts = _levels((rows if ids is None else ids).select(F.col(entity).cast("long").alias("id")), "id", bits)
     found = None
     for shift in shifts[:-1]:
         if shift:

@@ -7,17 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slatecraft.functions.numeric import percent, round_to
 from slatecraft.functions.stacks import slot_entries, team_of
 from slatecraft.functions.text import DEFENCE
+from slatecraft.operators.shares import distribution
 from slatecraft.plans.top_lineups import SINGLE_GAME_SLOTS
 
 
 def _distribution(df: DataFrame, value: Column, name: str) -> DataFrame:
-    """Line-ups per value and their share."""
-    counted = df.groupBy(value.alias(name)).agg(F.count(F.lit(1)).alias("lineup_count"))
-    total = counted.agg(F.sum("lineup_count").alias("n")).scalar()
-    return counted.withColumn("pct_of_lineups", round_to(percent(F.col("lineup_count"), total), 2))
+    return distribution(df, value, name, "lineup_count", "pct_of_lineups")
 
 
 def captain_positions(mart: DataFrame, slot: str = "cpt1") -> DataFrame:

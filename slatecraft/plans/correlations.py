@@ -37,7 +37,7 @@ def position_correlations(players: DataFrame, more_than: int = MORE_THAN, bits:
     """Correlation per ordered position pair and team relationship."""
     sums = pair_sums(
         performances(players), "event_id", "player_id", "event_team_id", ["position"],
-        F.col("actual_points"), bits,
+        F.col("actual_points"), bits, players,
     )
     return sums.filter(F.col("pairs") > more_than).select(
         "position_1",
@@ -90,7 +90,8 @@ def line_correlations(
     )
     lined = with_lines(played, lines, team_codes).filter(F.col("line").isNotNull())
     sums = pair_sums(
-        lined, "event_id", "player_id", "event_team_id", ["position", "line"], F.col("actual_points"), bits
+        lined, "event_id", "player_id", "event_team_id", ["position", "line"], F.col("actual_points"),
+        bits, players,
     )
     return sums.filter(F.col("pairs") > more_than).select(
         "position_1",

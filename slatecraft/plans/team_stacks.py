@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slatecraft.functions.numeric import percent, ratio, round_to
+from slatecraft.functions.numeric import ratio, round_to
 from slatecraft.functions.stacks import (
     has_teammate,
     sizes_descending,
@@ -24,6 +24,7 @@ from slatecraft.functions.stacks import (
 )
 from slatecraft.functions.text import DEFENCE, normalise_position
 from slatecraft.operators.reshape import unpivot_attributes
+from slatecraft.operators.shares import over_all, share_of
 from slatecraft.plans.top_lineups import CLASSIC_SLOTS
 
 # --- fixed values -----------------------------------------------------------------------------
@@ -61,9 +62,8 @@ def team_counts(mart: DataFrame, slots: Sequence[str] = CLASSIC_SLOTS) -> DataFr
     return _with_stacks(mart, slots).select(*_LINEUP, F.inline("stacks"))
 
 
-def _lineup_total(mart: DataFrame) -> Column:
-    known = F.col("contest_id").isNotNull() & F.col("lineup_rank").isNotNull()
-    return mart.agg(F.count_if(known).alias("total")).scalar()
+def _known_lineup() -> Column:
+    return F.count_if(F.col("contest_id").isNotNull() & F.col("lineup_rank").isNotNull())
 
 
 def _averages(weight: Column) -> list[Column]:
@@ -77,19 +77,38 @@ def _averages(weight: Column) -> list[Column]:
     ]
 
 
+def _sums() -> list[Column]:
+    return [
+        F.sum("total_own").alias("own"),
+        F.count("total_own").alias("own_n"),
+        F.sum("lineup_rank").alias("rank"),
+        F.count("lineup_rank").alias("rank_n"),
+    ]
+
+
+def _averages_of_sums() -> list[Column]:
+    return [
+        round_to(ratio(F.sum("own"), F.sum("own_n")), 2).alias("avg_total_own"),
+        round_to(ratio(F.sum("rank"), F.sum("rank_n")), 1).alias("avg_lineup_rank"),
+    ]
+
+
 def stack_sizes(mart: DataFrame, slots: Sequence[str] = CLASSIC_SLOTS) -> DataFrame:
     """How often each combination of stack sizes occurs.
 
     A combination that repeats within a line-up counts once, but weighs with its repeats in the
-    averages.
+    averages. A row without a combination per line-up carries the total along, in the same pass.
     """
     combos = with_repeats(stack_combinations(sizes_descending(F.col("stacks"))))
-    rows = _with_stacks(mart, slots).select(*_LINEUP, F.inline(combos))
-    counted = F.count_if(F.col("contest_id").isNotNull() & F.col("lineup_rank").isNotNull())
+    marked = F.concat(combos, F.array(F.struct(F.lit(None).cast("string").alias("item"), F.lit(1).alias("times"))))
+    rows = _with_stacks(mart, slots).select(*_LINEUP, F.inline(marked))
+    counted = rows.groupBy(F.col("item").alias("stack_combination")).agg(
+        _known_lineup().alias("lineup_count"), *_averages(F.col("times"))
+    )
+    total = over_all(F.max(F.when(F.col("stack_combination").isNull(), F.col("lineup_count"))))
     return (
-        rows.groupBy(F.col("item").alias("stack_combination"))
-        .agg(counted.alias("lineup_count"), *_averages(F.col("times")))
-        .withColumn("pct_of_lineups", round_to(percent(F.col("lineup_count"), _lineup_total(mart)), 2))
+        counted.withColumn("pct_of_lineups", share_of("lineup_count", total))
+        .filter(F.col("stack_combination").isNotNull())
         .select("stack_combination", "lineup_count", "pct_of_lineups", "avg_total_own", "avg_lineup_rank")
     )
 
@@ -98,31 +117,31 @@ def team_details(mart: DataFrame, slots: Sequence[str] = CLASSIC_SLOTS) -> DataF
     """Stacks per team and size, with the position combination seen most often.
 
     Combinations are counted first; a second, small aggregate sums them up and picks the largest
-    (ties: the first by name).
+    (ties: the first by name). A row without a team per line-up carries the total along.
     """
-    by_combo = (
-        team_counts(mart, slots)
-        .groupBy("team", "stack_size", "position_combo")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum("total_own").alias("own"),
-            F.count("total_own").alias("own_n"),
-            F.sum("lineup_rank").alias("rank"),
-            F.count("lineup_rank").alias("rank_n"),
-        )
+    nothing = F.struct(
+        F.lit(None).cast("string").alias("team"),
+        F.lit(0).cast("long").alias("stack_size"),
+        F.lit(None).cast("string").alias("position_combo"),
+    )
+    rows = _with_stacks(mart, slots).select(*_LINEUP, F.inline(F.concat("stacks", F.array(nothing))))
+    by_combo = rows.groupBy("team", "stack_size", "position_combo").agg(
+        F.count(F.lit(1)).alias("n"), _known_lineup().alias("known"), *_sums()
     )
     best = F.min_by(
         F.struct("position_combo", "n"), F.struct(-F.col("n"), F.col("position_combo").isNull(), "position_combo")
     )
+    total = over_all(F.max(F.when(F.col("team").isNull(), F.col("known"))))
     return (
         by_combo.groupBy("team", "stack_size")
         .agg(
             F.sum("n").alias("lineup_count"),
+            F.sum("known").alias("known"),
             best.alias("best"),
-            round_to(ratio(F.sum("own"), F.sum("own_n")), 2).alias("avg_total_own"),
-            round_to(ratio(F.sum("rank"), F.sum("rank_n")), 1).alias("avg_lineup_rank"),
+            *_averages_of_sums(),
         )
-        .withColumn("pct_of_lineups", round_to(percent(F.col("lineup_count"), _lineup_total(mart)), 2))
+        .withColumn("pct_of_lineups", share_of("lineup_count", total))
+        .filter(F.col("team").isNotNull())
         .select(
             "team",
             "stack_size",
@@ -168,12 +187,10 @@ def anchor_patterns(
         .groupBy("stack_type")
         .agg(F.count(F.lit(1)).alias("lineup_count"), *_averages(F.lit(1)))
     )
-    stacked = counted.agg(
-        F.sum(F.when(F.col("stack_type") != NOT_STACKED, F.col("lineup_count")).otherwise(0)).alias("n")
-    ).scalar()
-    return counted.withColumn(
-        "pct_of_qb_stacks", round_to(percent(F.col("lineup_count"), stacked), 2)
-    ).select("stack_type", "lineup_count", "pct_of_qb_stacks", "avg_total_own", "avg_lineup_rank")
+    stacked = over_all(F.sum(F.when(F.col("stack_type") != NOT_STACKED, F.col("lineup_count")).otherwise(0)))
+    return counted.withColumn("pct_of_qb_stacks", share_of("lineup_count", stacked)).select(
+        "stack_type", "lineup_count", "pct_of_qb_stacks", "avg_total_own", "avg_lineup_rank"
+    )
 
 
 def defence_patterns(mart: DataFrame, slots: Sequence[str] = CLASSIC_SLOTS) -> DataFrame:
@@ -183,49 +200,26 @@ def defence_patterns(mart: DataFrame, slots: Sequence[str] = CLASSIC_SLOTS) -> D
         .withColumn("dst_team", team_of(F.col("entries"), DEFENCE))
         .filter(F.col("dst_team").isNotNull())
     )
-    own = F.element_at(F.filter("stacks", lambda s: s["team"] == F.col("dst_team")), 1)
     mine = F.filter("stacks", lambda s: s["team"] == F.col("dst_team"))
-    marked = teamed.select(
-        *_LINEUP,
-        (F.size(mine) > 0).alias("dst_in_stack"),
-        F.when(F.size(mine) > 0, own["position_combo"]).alias("position_combo"),
+    marked = teamed.select(*_LINEUP, F.get(mine, F.lit(0)).alias("own")).select(
+        *_LINEUP, F.col("own").isNotNull().alias("dst_in_stack"), F.col("own.position_combo").alias("position_combo")
     )
-    by_combo = marked.groupBy("dst_in_stack", "position_combo").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum("total_own").alias("own"),
-        F.count("total_own").alias("own_n"),
-        F.sum("lineup_rank").alias("rank"),
-        F.count("lineup_rank").alias("rank_n"),
+    by_combo = marked.groupBy("dst_in_stack", "position_combo").agg(F.count(F.lit(1)).alias("n"), *_sums())
+    most = F.min_by(
+        F.struct("position_combo", "n"), F.struct(-F.col("n"), F.col("position_combo").isNull(), "position_combo")
     )
-    best = by_combo.agg(
-        F.min_by(
-            F.when(F.col("dst_in_stack"), F.struct("position_combo", "n")),
-            F.struct(
-                ~F.col("dst_in_stack"),
-                -F.col("n"),
-                F.col("position_combo").isNull(),
-                "position_combo",
-            ),
-        ).alias("best")
-    ).scalar()
-    total = by_combo.agg(F.sum("n").alias("n")).scalar()
-    return (
-        by_combo.groupBy("dst_in_stack")
-        .agg(
-            F.sum("n").alias("lineup_count"),
-            round_to(ratio(F.sum("own"), F.sum("own_n")), 2).alias("avg_total_own"),
-            round_to(ratio(F.sum("rank"), F.sum("rank_n")), 1).alias("avg_lineup_rank"),
-        )
-        .withColumn("best", best)
-        .select(
-            "dst_in_stack",
-            "lineup_count",
-            round_to(percent(F.col("lineup_count"), total), 2).alias("pct_of_lineups"),
-            F.col("best.position_combo").alias("most_common_position_combo"),
-            F.col("best.n").alias("combo_count"),
-            "avg_total_own",
-            "avg_lineup_rank",
-        )
+    rows = by_combo.groupBy("dst_in_stack").agg(
+        F.sum("n").alias("lineup_count"), most.alias("most"), *_averages_of_sums()
+    )
+    best = over_all(F.max(F.when(F.col("dst_in_stack"), F.col("most"))))
+    return rows.select(
+        "dst_in_stack",
+        "lineup_count",
+        share_of("lineup_count", over_all(F.sum("lineup_count"))).alias("pct_of_lineups"),
+        best["position_combo"].alias("most_common_position_combo"),
+        best["n"].alias("combo_count"),
+        "avg_total_own",
+        "avg_lineup_rank",
     )
 
 
