@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from checks import marts  # noqa: F401
+from checks import documents, marts  # noqa: F401
 from checks.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
