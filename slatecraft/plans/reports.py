@@ -19,7 +19,6 @@ from slatecraft.operators.keyed import counts_joined
 from slatecraft.operators.ranking import add_rank
 from slatecraft.operators.reshape import slot_columns, unpivot_filled
 
-_ROWS = F.lit(1)
 
 
 def slates_on_day(draft_groups: DataFrame, date_id: int) -> DataFrame:
@@ -34,7 +33,7 @@ def slate_structure(draft_groups: DataFrame, first: int, last: int) -> DataFrame
     return (
         draft_groups.filter(F.col("date_id").between(first, last))
         .groupBy("source_id", "display_name")
-        .agg(F.avg("game_count").alias("avg_games"), F.count(_ROWS).alias("slate_count"))
+        .agg(F.avg("game_count").alias("avg_games"), F.count("*").alias("slate_count"))
     )
 
 
@@ -56,7 +55,7 @@ def value_plays(players: DataFrame, top: int = 20) -> DataFrame:
 
 def points_by_ownership(players: DataFrame) -> DataFrame:
     return players.groupBy(ownership_tier(F.col("ownership")).alias("ownership_tier")).agg(
-        F.avg("actual_points").alias("avg_points"), F.count(_ROWS).alias("player_count")
+        F.avg("actual_points").alias("avg_points"), F.count("*").alias("player_count")
     )
 
 
@@ -81,7 +80,7 @@ def return_by_diversity(users: DataFrame, min_rosters: int = 20) -> DataFrame:
     return (
         users.filter(F.col("total_rosters") >= min_rosters)
         .groupBy(strategy.alias("strategy"))
-        .agg(F.avg("roi").alias("avg_roi"), F.count(_ROWS).alias("user_count"))
+        .agg(F.avg("roi").alias("avg_roi"), F.count("*").alias("user_count"))
     )
 
 
@@ -129,7 +128,7 @@ def results_by_stack_size(lineups: DataFrame) -> DataFrame:
     return lineups.groupBy(F.col("correlated_players").alias("stack_size")).agg(
         F.avg("points").alias("avg_points"),
         share_true(F.col("is_cashing")).alias("cash_rate"),
-        F.count(_ROWS).alias("lineup_count"),
+        F.count("*").alias("lineup_count"),
     )
 
 
@@ -157,7 +156,7 @@ def rebuilt_lineups(
         .agg(
             F.max("points").alias("points"),
             F.max("total_salary").alias("total_salary"),
-            F.count(_ROWS).alias("_found"),
+            F.count("*").alias("_found"),
             *[
                 cell
                 for s, out in names.items()
@@ -195,7 +194,7 @@ def player_results(players: DataFrame, lineups: DataFrame, slots: Sequence[str])
         .distinct()
     )
     per_player = rostered.groupBy("player_id").agg(
-        F.count(_ROWS).alias("times_rostered"),
+        F.count("*").alias("times_rostered"),
         F.avg("points").alias("avg_lineup_points"),
         share_true(F.col("is_cashing")).alias("cash_rate"),
     )
