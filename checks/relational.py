@@ -9,6 +9,7 @@ from checks.registry import query
 from slatecraft.functions import casting, dates, metrics, stacks, text
 from slatecraft.functions.numeric import correlation, ratio, round_to
 from slatecraft.operators import keyed, ranking, reshape
+from slatecraft.operators.shares import distribution
 from slatecraft.plans import correlations, min_points, summaries, team_stacks
 from slatecraft.plans.normalise import json_or_null
 from slatecraft.plans.top_lineups import SINGLE_GAME_SLOTS
@@ -378,15 +379,33 @@ def agg8(spark, sf_dir):
     return t.table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(round_to(F.stddev_samp("l_quantity"), 6).alias("deviation"))
 
 
+_LISTS_SQL = f"""{marts.STACKS_SQL},
+lists AS (
+  SELECT contest_id, lineup_rank, list(stack_size ORDER BY stack_size DESC) AS sizes,
+         string_agg(DISTINCT position_combo, ' ' ORDER BY position_combo) AS combos
+  FROM team_counts GROUP BY contest_id, lineup_rank)"""
+
+
+def _lists(spark, sf_dir):
+    """Stack sizes and position texts of each line-up, made inside its row."""
+    found = stacks.stacks(stacks.slot_entries(t.STACK_SLOTS))
+    combos = F.array_sort(F.array_distinct(F.transform(F.col("s"), lambda x: x["position_combo"])))
+    return (
+        marts.mart(spark, sf_dir, marts.STACKED)
+        .select("contest_id", "lineup_rank", found.alias("s"))
+        .filter(F.size("s") > 0)
+        .select("contest_id", "lineup_rank", stacks.sizes_descending(F.col("s")).alias("sizes"), combos.alias("combos"))
+    )
+
+
 @query(
     "agg11_ordered_lists",
-    """SELECT o_custkey, array_to_string(list(day(o_orderdate) ORDER BY day(o_orderdate) DESC), ',') AS days,
-       string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS priorities FROM orders GROUP BY o_custkey""",
+    f"WITH {_LISTS_SQL} SELECT contest_id, lineup_rank, array_to_string(sizes, ',') AS sizes, combos FROM lists",
 )
 def agg11(spark, sf_dir):
-    days = F.sort_array(F.collect_list(F.dayofmonth("o_orderdate")), asc=False)
-    priorities = F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",")
-    return t.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(stacks.joined(days).alias("days"), priorities.alias("priorities"))
+    return _lists(spark, sf_dir).select(
+        "contest_id", "lineup_rank", stacks.joined(F.col("sizes")).alias("sizes"), F.array_join("combos", " ").alias("combos")
+    )
 
 
 @query(
@@ -463,7 +482,7 @@ def win1(spark, sf_dir):
 
 @query(
     "win2_top1_of_counts",
-    """SELECT l_returnflag, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL
+    """SELECT l_returnflag, l_suppkey, count(*) AS n FROM lineitem GROUP BY l_returnflag, l_suppkey
 QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY count(*) DESC, l_suppkey) = 1""",
 )
 def win2(spark, sf_dir):
@@ -486,8 +505,6 @@ def win3(spark, sf_dir):
 FROM lineitem GROUP BY l_returnflag""",
 )
 def win4(spark, sf_dir):
-    from slatecraft.operators.shares import distribution
-
     return distribution(t.table(spark, sf_dir, "lineitem"), F.col("l_returnflag"), "l_returnflag", "n", "pct")
 
 
@@ -584,16 +601,23 @@ def rsh9(spark, sf_dir):
     return t.table(spark, sf_dir, "part").select("p_partkey", F.explode(text.name_parts(F.col("p_name"), " ")).alias("word"))
 
 
+@query(
+    "rsh10_list_items",
+    f"WITH {_LISTS_SQL} SELECT contest_id, lineup_rank, unnest(sizes) AS stack_size FROM lists",
+)
+def rsh10(spark, sf_dir):
+    return _lists(spark, sf_dir).select("contest_id", "lineup_rank", F.explode("sizes").alias("stack_size"))
+
+
 @query(
     "rsh11_list_prefixes",
-    """WITH lists AS (SELECT o_custkey, list(day(o_orderdate) ORDER BY day(o_orderdate) DESC) AS days FROM orders GROUP BY o_custkey)
-SELECT o_custkey, array_to_string(days[1:n], ',') AS prefix FROM (SELECT *, unnest(range(1, len(days))) AS n FROM lists)""",
+    f"""WITH {_LISTS_SQL}
+SELECT contest_id, lineup_rank, array_to_string(sizes[1:n], ',') AS prefix FROM (SELECT *, unnest(range(1, len(sizes))) AS n FROM lists)""",
 )
 def rsh11(spark, sf_dir):
-    days = F.sort_array(F.collect_list(F.dayofmonth("o_orderdate")), asc=False)
-    lists = t.table(spark, sf_dir, "orders").groupBy("o_custkey").agg(days.alias("days"))
-    return lists.select("o_custkey", F.explode(stacks.proper_prefixes(F.col("days"))).alias("p")).select(
-        "o_custkey", stacks.joined(F.col("p")).alias("prefix")
+    prefixes = F.explode(stacks.proper_prefixes(F.col("sizes"))).alias("p")
+    return _lists(spark, sf_dir).select("contest_id", "lineup_rank", prefixes).select(
+        "contest_id", "lineup_rank", stacks.joined(F.col("p")).alias("prefix")
     )
 
 

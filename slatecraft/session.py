@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -22,9 +23,11 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by ``spark.checkpoint.dir``; only without one (local runs) make one."""
-    if spark.sparkContext.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="slatecraft-checkpoint-"))
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path for written intermediate tables, visible to all executors.
+
+    It lies in the folder named by ``spark.checkpoint.dir`` (or set on the context); only without
+    one, as in local tests, it is a temporary folder.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return f"{shared or tempfile.mkdtemp(prefix='slatecraft-')}/{name}-{uuid.uuid4().hex}"

@@ -18,17 +18,21 @@ from slatecraft.functions.dates import path_part
 PARTITION = ["sport", "game_type", "date"]
 
 
+def _listed(spark: SparkSession, pattern: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    status = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return [s.getPath().toString() for s in status] if status is not None else []
+
+
 def matching(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
     """The patterns that match at least one path; any Hadoop file system."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    found = []
-    for pattern in patterns:
-        path = jvm.org.apache.hadoop.fs.Path(pattern)
-        status = path.getFileSystem(conf).globStatus(path)
-        if status is not None and len(status) > 0:
-            found.append(pattern)
-    return found
+    return [p for p in patterns if _listed(spark, p)]
+
+
+def folders(spark: SparkSession, patterns: Sequence[str]) -> list[str]:
+    """All paths the patterns match."""
+    return [path for p in patterns for path in _listed(spark, p)]
 
 
 def month_patterns(start: str | None, end: str | None) -> list[str]:
