@@ -30,27 +30,26 @@ def slot_entries(slots: Sequence[str]) -> Column:
     return F.filter(entries, lambda e: e["team"].isNotNull())
 
 
-def _combo(entries: Column, team: Column) -> Column:
-    positions = F.array_compact(
-        F.array_distinct(
-            F.transform(F.filter(entries, lambda e: e["team"] == team), lambda e: e["position"])
-        )
-    )
-    return F.when(F.size(positions) > 0, F.array_join(F.array_sort(positions), ","))
+def _combo(members: Column) -> Column:
+    positions = F.array_compact(F.array_distinct(F.transform(members, lambda e: e["position"])))
+    # a list of one, so that the positions are worked out once
+    return F.transform(
+        F.array(positions), lambda p: F.when(F.size(p) > 0, F.array_join(F.array_sort(p), ","))
+    )[0]
 
 
 def stacks(entries: Column, smallest: int = 2) -> Column:
     """``array<struct<team, stack_size, position_combo>>`` for teams with several players."""
     teams = F.array_distinct(F.transform(entries, lambda e: e["team"]))
-    counted = F.transform(
-        teams,
-        lambda t: F.struct(
-            t.alias("team"),
-            F.size(F.filter(entries, lambda e: e["team"] == t)).cast("long").alias("stack_size"),
-            _combo(entries, t).alias("position_combo"),
+    members = F.transform(teams, lambda t: F.filter(entries, lambda e: e["team"] == t))
+    return F.transform(
+        F.filter(members, lambda m: F.size(m) >= smallest),
+        lambda m: F.struct(
+            m[0]["team"].alias("team"),
+            F.size(m).cast("long").alias("stack_size"),
+            _combo(m).alias("position_combo"),
         ),
     )
-    return F.filter(counted, lambda s: s["stack_size"] >= smallest)
 
 
 def sizes_descending(found: Column) -> Column:

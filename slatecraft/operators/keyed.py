@@ -15,10 +15,9 @@ def top1_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) ->
     key break ties after ``order``, so the chosen row is always the same.
     """
     rest = [c for c in df.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in rest])
-    rank = F.struct(*order, *[F.col(c) for c in rest])
-    best = df.groupBy(*keys).agg(F.min_by(row, rank).alias("_row"))
-    return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    ranks = [c.alias(f"_order_{i}") for i, c in enumerate(order)]
+    best = df.groupBy(*keys).agg(F.min(F.struct(*ranks, *rest)).alias("_row"))
+    return best.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def nulls_last(value: Column) -> list[Column]:

@@ -39,20 +39,20 @@ def _inside_ranges(atoms: DataFrame, bits: int) -> DataFrame:
     groups = ["event", "_range"]
     ranged = atoms.withColumn("_range", F.shiftright("id", bits))
     sides = F.collect_set(F.struct("cls", "team")).over(Window.partitionBy(*groups))
-    grid = (
-        ranged.withColumn("_sides", sides)
-        .withColumn("_side", F.explode("_sides"))
-        .select(*groups, "id", "team", "cls", *_OWN, "_side.cls", "_side.team")
-        .toDF(*groups, "id", "team", "cls", *_OWN, "cls_1", "team_1")
+    placed = ranged.withColumn("_sides", sides).withColumn(
+        "_own", F.array_position("_sides", F.struct("cls", "team")) - 1
+    )
+    grid = placed.select(
+        *groups, "id", "team", "cls", "_own", *_OWN, F.posexplode("_sides").alias("_side", "first")
     )
     before = (
-        Window.partitionBy(*groups, "cls_1", "team_1").orderBy("id").rangeBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*groups, "_side").orderBy("id").rangeBetween(Window.unboundedPreceding, -1)
     )
-    mine = (F.col("cls") == F.col("cls_1")) & F.col("team").eqNullSafe(F.col("team_1"))
+    mine = F.col("_own") == F.col("_side")
     pairs = grid.select(
-        "cls_1",
+        F.col("first.cls").alias("cls_1"),
         F.col("cls").alias("cls_2"),
-        F.when(F.col("team") == F.col("team_1"), SAME).otherwise(OPPONENT).alias("team_relationship"),
+        F.when(F.col("team") == F.col("first.team"), SAME).otherwise(OPPONENT).alias("team_relationship"),
         *_OWN,
         *[F.sum(F.when(mine, F.col(c)).otherwise(F.lit(0.0))).over(before).alias(f"f_{c}") for c in _OWN],
     ).filter(F.col("f_n") > 0)

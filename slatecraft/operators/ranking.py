@@ -8,32 +8,56 @@ influence on the result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+FEWEST_BLOCKS, MOST_BLOCKS = 64, 4096
+
+
+def _block_count(df: DataFrame, blocks: int | None) -> int:
+    """A few blocks per shuffle partition, unless a number is given."""
+    if blocks is None:
+        blocks = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, blocks) if blocks < FEWEST_BLOCKS else min(blocks, MOST_BLOCKS)
+
+
 def _cuts(df: DataFrame, value: str, blocks: int) -> list[float]:
     probabilities = [i / blocks for i in range(1, blocks)]
     return sorted(set(df.approxQuantile(value, probabilities, 0.25 / blocks)))
 
 
+def _below(points: Column, value: Column) -> Column:
+    return F.size(F.filter(points, lambda c: c < value))
+
+
 def _block(value: Column, cuts: Sequence[float]) -> Column:
-    """Number of cut points below the value; missing values come last."""
+    """Number of cut points below the value; missing values come last.
+
+    The cut points are looked up in two steps, groups first, to keep the comparisons few.
+    """
     if not cuts:
         return F.when(value.isNull(), 1).otherwise(0)
-    points = F.array(*[F.lit(float(c)) for c in cuts])
-    below = F.size(F.filter(points, lambda c: c < value.cast("double")))
+    width = math.isqrt(len(cuts)) + 1
+    groups = [cuts[i : i + width] for i in range(0, len(cuts), width)]
+    number = value.cast("double")
+    full = _below(F.array(*[F.lit(g[-1]) for g in groups]), number)
+    listed = F.array(*[F.array(*[F.lit(c) for c in g]) for g in groups])
+    rest = F.when(full < len(groups), _below(F.get(listed, full), number)).otherwise(0)
+    # all groups before the last hold `width` cut points
+    below = F.when(full < len(groups), full * width + rest).otherwise(len(cuts))
     return F.when(value.isNull(), len(cuts) + 1).otherwise(below)
 
 
 def running_counts(
-    df: DataFrame, value: str, keys: Sequence[str] = (), descending: bool = False, blocks: int = 64
+    df: DataFrame, value: str, keys: Sequence[str] = (), descending: bool = False, blocks: int | None = None
 ) -> DataFrame:
     """One row per key and distinct value: ``n`` rows have it and ``before`` rows come ahead of it."""
     keys = list(keys)
-    cuts = _cuts(df, value, blocks)
+    cuts = _cuts(df, value, _block_count(df, blocks))
     counts = (
         df.groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("n"))
@@ -53,7 +77,6 @@ def running_counts(
     )
     order = F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)
     inside = Window.partitionBy(*keys, "_block").orderBy(order)
-    on = [counts[k].eqNullSafe(offsets[k]) for k in [*keys, "_block"]]
     local = counts.withColumn("_local", F.sum("n").over(inside) - F.col("n"))
     joined = local.join(
         offsets.select(*[F.col(k).alias(f"_o_{k}") for k in [*keys, "_block"]], "_offset"),
@@ -65,7 +88,7 @@ def running_counts(
 
 
 def add_rank(
-    df: DataFrame, value: str, keys: Sequence[str], name: str, descending: bool = True, blocks: int = 64
+    df: DataFrame, value: str, keys: Sequence[str], name: str, descending: bool = True, blocks: int | None = None
 ) -> DataFrame:
     """SQL ``RANK()`` per key; the rows themselves are only joined, never sorted by key."""
     ranks = running_counts(df, value, keys, descending, blocks).select(
@@ -76,7 +99,7 @@ def add_rank(
     return df.join(ranks, same).select(*df.columns, name)
 
 
-def ntile_summary(df: DataFrame, value: str, tiles: int, blocks: int = 64) -> DataFrame:
+def ntile_summary(df: DataFrame, value: str, tiles: int, blocks: int | None = None) -> DataFrame:
     """Rows, smallest, largest and mean value of each of ``tiles`` equal buckets of sorted rows.
 
     The first ``total % tiles`` buckets hold one row more. A value whose rows straddle a border is

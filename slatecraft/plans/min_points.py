@@ -20,33 +20,58 @@ REQUIRED = (
 )
 
 
+def _cut_columns() -> list[Column]:
+    return [
+        F.ceil(F.col("total_entries") * F.lit(share)).cast("int").alias(f"rank_{p}_percentile")
+        for p, share in CUTS.items()
+    ]
+
+
 def rank_cutoffs(lineups: DataFrame) -> DataFrame:
     """Worst rank of each contest and the ranks that close its best 5, 10 and 15 percent."""
     worst = lineups.groupBy("contest_id").agg(F.max("lineup_rank").alias("total_entries"))
-    return worst.select(
-        "contest_id",
-        "total_entries",
-        *[
-            F.ceil(F.col("total_entries") * F.lit(share)).cast("int").alias(f"rank_{p}_percentile")
-            for p, share in CUTS.items()
-        ],
+    return worst.select("contest_id", "total_entries", *_cut_columns())
+
+
+def contest_results(lineups: DataFrame) -> DataFrame:
+    """Points in the money and at the cut-offs per contest, reading the line-ups twice.
+
+    One aggregate finds everything that needs no cut-off; the second pass keeps the ranks up to the
+    widest cut-off, and the last rank so that no contest gets lost.
+    """
+    slim = lineups.select("contest_id", "lineup_rank", "points", "is_cashing")
+    cashed = lambda c: F.when(F.col("is_cashing"), F.col(c))
+    known = slim.groupBy("contest_id").agg(
+        F.max("lineup_rank").alias("total_entries"),
+        F.min(cashed("points")).alias("min_points"),
+        F.max(cashed("points")).alias("max_points"),
+        F.max(cashed("lineup_rank")).alias("max_lineup_rank"),
+    )
+    ranked = slim.drop("is_cashing").join(known.select("*", *_cut_columns()), "contest_id")
+    last = F.col("lineup_rank").eqNullSafe(F.col("total_entries"))
+    carried = ("min_points", "max_points", "max_lineup_rank")
+    return (
+        ranked.filter((F.col("lineup_rank") <= F.col(_WIDEST)) | last)
+        .groupBy("contest_id")
+        .agg(*[F.max(c).alias(c) for c in carried], *_points_at())
     )
 
 
 def points_at_cutoffs(lineups: DataFrame) -> DataFrame:
     """Points at the greatest rank not beyond each cut-off; the smallest where ranks tie."""
     ranked = lineups.select("contest_id", "lineup_rank", "points").join(rank_cutoffs(lineups), "contest_id")
-    widest = f"rank_{max(CUTS)}_percentile"
+    return ranked.filter(F.col("lineup_rank") <= F.col(_WIDEST)).groupBy("contest_id").agg(*_points_at())
+
+
+_WIDEST = f"rank_{max(CUTS)}_percentile"
+
 
+def _points_at() -> list[Column]:
     def at(cut: str) -> Column:
         usable = F.col("points").isNotNull() & (F.col("lineup_rank") <= F.col(cut))
         return F.max_by("points", F.when(usable, F.struct("lineup_rank", (-F.col("points")).alias("p"))))
 
-    return (
-        ranked.filter(F.col("lineup_rank") <= F.col(widest))
-        .groupBy("contest_id")
-        .agg(*[at(f"rank_{p}_percentile").alias(f"top_{p}_percentile_points") for p in CUTS])
-    )
+    return [at(f"rank_{p}_percentile").alias(f"top_{p}_percentile_points") for p in CUTS]
 
 
 def points_at_exact_rank(lineups: DataFrame) -> DataFrame:
@@ -100,9 +125,8 @@ def contest_points(
     largest = _largest(contests, start, end)
     wanted = lineups.join(largest.select("contest_id").distinct(), "contest_id", "left_semi")
     return (
-        largest.join(cashing_points(wanted), "contest_id", "left")
+        largest.join(contest_results(wanted), "contest_id", "left")
         .join(_slates(draft_groups), "draft_group_id")
-        .join(points_at_cutoffs(wanted), "contest_id", "left")
         .select(
             "slate_id",
             "contest_id",
