@@ -25,13 +25,11 @@ BITS = 16
 _OWN = ("n", "known", "total", "squares")
 
 
-def _levels(rows: DataFrame, entity: str, bits: int) -> list[int]:
-    """Range sizes (as bit shifts) until one range covers all ids that occur."""
-    low, high = rows.agg(F.min(entity), F.max(entity)).first()
-    shifts = [0]
-    while low is not None and (low >> shifts[-1]) != (high >> shifts[-1]):
-        shifts.append(shifts[-1] + bits)
-    return shifts if len(shifts) > 1 else [0, bits]
+def _levels(ids: DataFrame, bits: int) -> tuple[int, list[int]]:
+    """Smallest id, and the number of bits of each level up to one range that covers all ids."""
+    low, high = ids.agg(F.min("id"), F.max("id")).first()
+    span = (high - low).bit_length() if low is not None else 0
+    return low or 0, list(range(0, max(span, 1), bits))
 
 
 def _inside_ranges(atoms: DataFrame, bits: int) -> DataFrame:
@@ -90,9 +88,11 @@ def pair_sums(
     """
     value = value.cast("double")
     known = F.when(value.isNotNull(), 1.0).otherwise(0.0)
+    listed = (rows if ids is None else ids).select(F.col(entity).cast("long").alias("id"))
+    low, levels = _levels(listed, bits)
     atoms = rows.filter(F.col(event).isNotNull() & F.col(entity).isNotNull()).select(
         F.col(event).alias("event"),
-        F.col(entity).cast("long").alias("id"),
+        (F.col(entity).cast("long") - F.lit(low)).alias("id"),
         F.col(team).alias("team"),
         F.struct(*[F.col(c).alias(c) for c in classes]).alias("cls"),
         F.lit(1.0).alias("n"),
@@ -100,18 +100,17 @@ def pair_sums(
         F.coalesce(value, F.lit(0.0)).alias("total"),
         F.coalesce(value * value, F.lit(0.0)).alias("squares"),
     )
-    shifts = _levels((rows if ids is None else ids).select(F.col(entity).cast("long").alias("id")), "id", bits)
     found = None
-    for shift in shifts[:-1]:
-        if shift:
+    for level in levels:
+        if level:
             atoms = (
                 atoms.groupBy("event", F.shiftright("id", bits).alias("id"), "team", "cls")
                 .agg(*[F.sum(c).alias(c) for c in _OWN])
             )
-        level = _inside_ranges(atoms, bits)
-        found = level if found is None else found.unionByName(level)
+        sums = _inside_ranges(atoms, bits)
+        found = sums if found is None else found.unionByName(sums)
     keys = ["cls_1", "cls_2", "team_relationship"]
-    if len(shifts) > 2:
+    if len(levels) > 1:
         measures = [c for c in found.columns if c not in keys]
         found = found.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in measures])
     return found.select(
