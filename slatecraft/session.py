@@ -15,6 +15,8 @@ def build_session(app: str, master: str | None = None, **conf: str) -> SparkSess
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # recording the call site of every column takes longer than making the column
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
