@@ -32,4 +32,8 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     one, as in local tests, it is a temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return f"{shared or tempfile.mkdtemp(prefix='slatecraft-')}/{name}-{uuid.uuid4().hex}"
+    if shared is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="slatecraft-")
+    return f"{shared}/{name}-{uuid.uuid4().hex}"
