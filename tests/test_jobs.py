@@ -193,3 +193,31 @@ def test_marts_from_landed_files(spark, tmp_path):
     summary = jobs.min_points_job(spark, tables, marts, "NFL", "2025-09-01", "2025-09-30")
     assert summary == {"total_records": 1, "records_with_min_points": 1, "status": "success"}
     assert json.loads(spark.read.text(f"{marts}/min_points/NFL/data").first()[0])["top_15_percentile_points"] == 97.0
+
+
+def test_lines_of_all_landed_days(spark, tmp_path):
+    assert jobs.lines_job(spark, str(tmp_path / "none"), str(tmp_path / "lines")) is False
+    stats = spark.createDataFrame([("A-B", "LAK", 1.0, 1, "line", "5on5")], schemas.LINE_STATS)
+    assert layout.has_rows(stats) and not layout.has_rows(stats.filter("team = 'x'"))
+    stats.write.parquet(str(tmp_path / "stats/players/2025-01-01"))
+    assert jobs.lines_job(spark, str(tmp_path / "stats"), str(tmp_path / "lines")) is True
+    stored = spark.read.parquet(str(tmp_path / "lines"))
+    assert rows(stored) == [("2025-01-01", "A", "LAK", "f1"), ("2025-01-01", "B", "LAK", "f1")]
+
+
+def test_line_correlations_job(spark, tmp_path):
+    """Two players of one line in sixty events."""
+    people = spark.createDataFrame(
+        [
+            (p, e, 1, 2.0, float((e * p) % 7), "LW", f"X {n}", n, "LA", "NHL", "2025-01-01", "dk_classic")
+            for e in range(60) for p, n in ((1, "Lee"), (2, "Ray"))
+        ],
+        "player_id int, event_id int, event_team_id int, proj_points double, actual_points double, position string, "
+        "full_name string, last_name string, current_team string, sport string, date string, game_type string",
+    )
+    people.write.partitionBy("sport", "game_type", "date").parquet(str(tmp_path / "dds/players"))
+    lines = [("2025-01-01", "Lee", "LAK", "f1"), ("2025-01-01", "Ray", "LAK", "f1")]
+    spark.createDataFrame(lines, "game_date string, last_name string, team string, line string").write.parquet(str(tmp_path / "lines"))
+    jobs.line_correlations_job(spark, str(tmp_path / "dds"), str(tmp_path / "marts"), str(tmp_path / "lines"))
+    got = one(spark.read.parquet(str(tmp_path / "marts/line_correlations/NHL")))
+    assert (got["position_1"], got["line_2"], got["team_relationship"], got["sample_size"]) == ("W", "f1", "same_team", 60)
