@@ -113,7 +113,7 @@ good AS (SELECT row, s FROM every WHERE s.kind <> 'bare' OR s.body IN (SELECT bo
 texts AS (SELECT row, string_agg(s.kind || ':' || s.start || ':' || s.stop, ',' ORDER BY s.start, s.rank) AS spans,
   string_agg(s.kind || ':' || s.start || ':' || s.stop, ',' ORDER BY s.start, s.rank) FILTER (s.kind <> 'bare') AS base,
   count(*) FILTER (s.kind = 'assign') AS a, count(*) FILTER (s.kind = 'access') AS b, count(*) FILTER (s.kind = 'hex') AS c FROM good GROUP BY row)
-SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(c, 0) AS n_hex, sha256(coalesce(texts.base, '')) AS base_sha256, coalesce(texts.spans, '') AS spans
 FROM free LEFT JOIN texts USING (row)
 """
 
