@@ -1,6 +1,6 @@
 """Jaccard join on word shingles by chosen paths.
 
-A set of shingles chooses a few of its tokens by a hash that all sets share, in several independent runs. Sets
+A set of shingles chooses a few of its tokens by a hash that all sets share, anew for every run and level. Sets
 that chose one token share a path. Paths with one set end; small ones are brute-forced; larger ones are split
 by the next level's chosen tokens, unless their sets are alike already (few distinct minhash values) or the
 levels are used up, then they are brute-forced block by block. Sets whose sketches agree enough become
@@ -29,6 +29,7 @@ RUNS = 7
 LEVELS = 4
 #: Chosen tokens expected of a set at each level of a run.
 CHOSEN = 2.0
+#: Bins of a sketch: 2 to the power of 7.
 SKETCH = 128
 #: Sketches must agree on this share: four deviations below 0.8.
 SKETCH_LEAST = 0.66
@@ -70,7 +71,8 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
 
 def described(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
     """row_key, doc_id, set_key, size, sketch and the chosen tokens of each run and level."""
-    count = RUNS * LEVELS
+    # each run and level has a stretch of the hash range of its own, which starts at the same place for all sets
+    begin = (np.arange(RUNS * LEVELS, dtype=np.float64) / (RUNS * LEVELS) * 2.0**64).astype(np.uint64)
 
     def sets(batches):
         for batch in batches:
@@ -79,18 +81,20 @@ def described(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
                 s = shingles(body, words)
                 if not len(s):
                     continue
-                cut = np.uint64(min(2**64 - 1, int(CHOSEN / len(s) * 2**64)))
+                h = np.sort(_mixed(s, 5))
+                wide = np.uint64(min(2**63, int(CHOSEN / len(s) * 2**64)))
+                low = np.searchsorted(h, begin)
+                high = np.searchsorted(h, begin + wide)  # runs round past the top
+                signed = h.view(np.int64)
                 chosen = []
-                for k in range(count):
-                    h = _mixed(s, 1000 + k)
-                    picked = s[h <= cut]
-                    chosen.append((picked if len(picked) else s[[h.argmin()]]).view(np.int64))
+                for a, b, wraps in zip(low, high, begin + wide < begin):
+                    picked = np.concatenate([signed[a:], signed[:b]]) if wraps else signed[a:b]
+                    chosen.append(picked if len(picked) else signed[[a % len(h)]])
                 # one permutation: smallest hash of each of SKETCH bins; an empty bin takes the next full one's
-                h = np.sort(_mixed(s, 5))
-                bins = (h >> np.uint64(57)).astype(np.int64)
-                first = np.searchsorted(bins, np.arange(SKETCH))
-                sketch = h[first % len(h)].astype(np.uint16) if SKETCH == 128 else None
-                rows.append((key, own, int(len(s)), _digest(s), sketch.tobytes(), int(h[0] & np.uint64(2**63 - 1)), chosen))
+                spread = np.sort(_mixed(s, 6))
+                first = np.searchsorted(spread, np.arange(SKETCH, dtype=np.uint64) << np.uint64(57))
+                sketch = spread[first % len(spread)].astype(np.uint16)
+                rows.append((key, own, int(len(s)), _digest(s), sketch.tobytes(), int(spread[0] & np.uint64(2**63 - 1)), chosen))
             yield pd.DataFrame(rows, columns=["row_key", "doc_id", "size", "set_key", "sketch", "low", "chosen"])
 
     rows = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row_key"), F.col(doc_id).cast("string").alias("doc_id"), whole_text(text).alias("text"))
