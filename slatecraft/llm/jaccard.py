@@ -31,8 +31,8 @@ LEVELS = 4
 CHOSEN = 2.0
 #: Bins of a sketch: 2 to the power of 7.
 SKETCH = 128
-#: Sketches must agree on this share: four deviations below 0.8.
-SKETCH_LEAST = 0.66
+#: Sketches may agree on so many deviations less than the threshold says; small sets deviate more.
+DEVIATIONS = 4.0
 SMALL = 64
 ALIKE = 0.5
 BLOCK = 1024
@@ -114,7 +114,7 @@ def alike(sketches: np.ndarray, other: np.ndarray) -> np.ndarray:
     return out
 
 
-def candidate_edges(sets: DataFrame) -> DataFrame:
+def candidate_edges(sets: DataFrame, least: float = LEAST) -> DataFrame:
     """Edges a, b between sets (by node id) that share a path and whose sketches agree."""
     nodes = sets.select("node", "low", "chosen")
     leaves = None
@@ -137,7 +137,7 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
         deeper = written(at.join(split_counts, "path", "left_semi"))
     leaves = leaves.withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int")).withColumn("own", F.pmod(F.xxhash64("node", F.lit(1)), F.col("blocks")).cast("int"))
     leaves = leaves.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
-    dealt = leaves.join(sets.select("node", "sketch"), "node").select("path", "low", "high", "own", "node", "sketch")
+    dealt = leaves.join(sets.select("node", "size", "sketch"), "node").select("path", "low", "high", "own", "node", "size", "sketch")
     # many small paths to a task: each task sorts its paths and compares one after another
     dealt = dealt.repartition(F.col("path"), F.col("low"), F.col("high")).sortWithinPartitions("path", "low", "high")
 
@@ -158,14 +158,16 @@ def candidate_edges(sets: DataFrame) -> DataFrame:
                 continue
             node = batch["node"].to_numpy()[start:stop]
             own = batch["own"].to_numpy()[start:stop]
+            size = batch["size"].to_numpy(np.float64)[start:stop]
             sketch = np.frombuffer(b"".join(batch["sketch"].iloc[start:stop]), np.uint16).reshape(-1, SKETCH)
             cross = batch["low"].iloc[start] != batch["high"].iloc[start]
             for at in range(0, len(node), 256):
-                near = alike(sketch[at : at + 256], sketch) >= SKETCH_LEAST
+                deviation = np.sqrt(least * (1 - least) * (1 / SKETCH + 2 / np.minimum(size[at : at + 256, None], size[None, :])))
+                near = alike(sketch[at : at + 256], sketch) >= least - DEVIATIONS * deviation
                 if cross:
                     near &= own[at : at + 256, None] != own[None, :]
-                least = np.where(near, node[None, :], np.iinfo(np.int64).max).min(axis=1)
-                out += [(int(a), int(b)) for a, b in zip(node[at : at + 256], least) if b < a]
+                smallest = np.where(near, node[None, :], np.iinfo(np.int64).max).min(axis=1)
+                out += [(int(a), int(b)) for a, b in zip(node[at : at + 256], smallest) if b < a]
         return out
 
     return dealt.mapInPandas(task, "a long, b long").distinct()
@@ -203,9 +205,9 @@ def join(docs: DataFrame, words: int = WORDS, least: float = LEAST, doc_id: str
     """row_key, doc_id, class_id (smallest doc_id of the class), n_links (other rows linked directly), keeper (row_key kept of the class)."""
     sets = written(described(docs, words, doc_id, text))
     first = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
-    merged = sets.groupBy("set_key").agg(F.count("*").alias("copies"), F.min(first).alias("first"), F.first("sketch").alias("sketch"), F.first("low").alias("low"), F.first("chosen").alias("chosen"))
-    merged = written(merged.withColumn("node", F.monotonically_increasing_id()).select("node", "set_key", "copies", F.col("first.doc_id").alias("doc_id"), F.col("first.row_key").alias("row_key"), "sketch", "low", "chosen"))
-    rough = written(components(candidate_edges(merged)))
+    merged = sets.groupBy("set_key").agg(F.count("*").alias("copies"), F.min(first).alias("first"), F.first("size").alias("size"), F.first("sketch").alias("sketch"), F.first("low").alias("low"), F.first("chosen").alias("chosen"))
+    merged = written(merged.withColumn("node", F.monotonically_increasing_id()).select("node", "set_key", "copies", F.col("first.doc_id").alias("doc_id"), F.col("first.row_key").alias("row_key"), "size", "sketch", "low", "chosen"))
+    rough = written(components(candidate_edges(merged, least)))
     members = rough.join(merged.select("node", "row_key", "copies"), "node")
     texts = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row_key"), whole_text(text).alias("text"))
     bodies = written(members.join(texts, "row_key").dropDuplicates(["node"]).select("component", "node", "copies", "text"))
