@@ -28,8 +28,8 @@ UNITS = "km|m|cm|mm|mi|miles?|feet|foot|ft|inch|inches|kg|g|mg|lb|lbs|pounds?|l|
 
 def canonical(text: Column) -> tuple[Column, Column]:
     """The words of a text as written, and as template words: two arrays of one length."""
-    spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(text, "\\s+", " ")), F.lit(" "))
-    names = F.regexp_replace(spaced, "(?<=[^.!?:\\s] )\\p{Lu}\\p{Ll}+(?:[-'’]\\p{L}+)*", "\x01")
+    spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(text, "\\s{2,}|[^\\S ]", " ")), F.lit(" "))
+    names = F.regexp_replace(spaced, "\\p{Lu}(?<=[^.!?:\\s] \\p{Lu})\\p{Ll}+(?:[-'’]\\p{L}+)*", "\x01")
     numbers = F.when(text.rlike("[0-9]"), F.regexp_replace(F.regexp_replace(names, "(?<= )[^\\s\\p{L}\x01]{0,3}[0-9]\\S*(?= )", "\x02"), f"(?i)(?<=\x02 )(?:{UNITS})(?=[ .,;:!?])", "\x03")).otherwise(names)
     plain = F.regexp_replace(F.lower(numbers), "[^\\p{L}\\p{N}\x01\x02\x03 ]+", "")
     inner = lambda c: F.split(F.substring(c, 2, F.length(c) - 2), " ", -1)
