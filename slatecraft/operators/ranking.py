@@ -15,14 +15,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-FEWEST_BLOCKS, MOST_BLOCKS = 64, 4096
-
-
 def _block_count(df: DataFrame, blocks: int | None) -> int:
     """A few blocks per shuffle partition, unless a number is given."""
     if blocks is None:
         blocks = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, blocks) if blocks < FEWEST_BLOCKS else min(blocks, MOST_BLOCKS)
+    return max(2, blocks)
 
 
 def _cuts(df: DataFrame, value: str, blocks: int) -> list[float]:

@@ -81,9 +81,13 @@ def explode_map(df: DataFrame, keep: Sequence[str], entries: Column, key: str, v
 
 
 def slots_from_map(players: Column, slots: Sequence[str]) -> list[Column]:
-    """``pos_*`` columns out of a map of slot to player id; keys compare without case."""
-    lowered = F.transform_keys(players, lambda k, _: F.lower(k))
-    return [F.try_element_at(lowered, F.lit(s)).alias(f"pos_{s}") for s in slots]
+    """``pos_*`` columns out of a map of slot to player id; keys compare without case, the last of equal ones counts."""
+
+    def last(slot: str) -> Column:
+        entries = F.filter(F.map_entries(players), lambda e: F.lower(e["key"]) == F.lit(slot))
+        return F.try_element_at(entries, F.lit(-1))["value"]
+
+    return [last(s).alias(f"pos_{s}") for s in slots]
 
 
 def slot_names(lineups: DataFrame, players: str) -> list[str]:

@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 
 from slatecraft.functions.dates import date_id, path_part, previous_month
 from slatecraft.functions.text import NORMALISED_SLATE_TYPES
+from slatecraft.operators.reshape import slot_names
 from slatecraft.plans import correlations, min_points, normalise, team_stacks, top_users
-from slatecraft.plans.top_lineups import CLASSIC_SLOTS, SINGLE_GAME_SLOTS, LineupConfig, top_lineups
+from slatecraft.plans.top_lineups import LineupConfig, top_lineups
 from slatecraft.sources import ledger, schemas
 from slatecraft.sources.layout import folders, read_table
 from slatecraft.sources.sinks import replace_partitions, write_mart, write_payload, write_reports
 
 SETTLE_DAYS = 5
-ALL_SLOTS = tuple(dict.fromkeys([*CLASSIC_SLOTS, *SINGLE_GAME_SLOTS]))
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,7 @@ TABLES = {
     "players": TableJob("contest_analyze", schemas.CONTEST_ANALYZE_RAW, normalise.players),
     "users": TableJob("contest_analyze", schemas.CONTEST_ANALYZE_RAW, normalise.users),
     "user_lineups": TableJob("contest_analyze", schemas.CONTEST_ANALYZE_RAW, normalise.user_lineups),
-    "lineups": TableJob("lineups", schemas.LINEUPS_RAW, lambda raw: normalise.lineups(raw, ALL_SLOTS)),
+    "lineups": TableJob("lineups", schemas.LINEUPS_RAW, lambda raw: normalise.lineups(raw, slot_names(raw, "lineups.lineupPlayers"))),
     "draft_groups": TableJob("draft_groups", schemas.DRAFT_GROUPS_RAW, normalise.draft_groups, False),
 }
 

@@ -220,16 +220,24 @@ def lineups(raw: DataFrame, slots: Sequence[str]) -> DataFrame:
     """One row per line-up, with a column per slot and nested details as JSON text.
 
     ``slots`` is the list of the game type; a line-up without a slot has null there. A line-up that
-    was landed twice for a contest counts once.
+    was landed twice for a contest counts once, as it was landed last; ties go to the largest row as
+    JSON text. Line-ups without a hash can't be told apart and all count.
     """
     keep = _partition(raw, PARTITION)
-    return raw.select(
+    loaded = F.col("load_ts") if "load_ts" in raw.columns else F.lit(None).cast("timestamp")
+    rows = raw.select(
         *keep,
         F.col("slate_id").alias("contest_id"),
         *[F.col(f"lineups.{f}").alias(name) for name, f in LINEUP_FIELDS.items()],
         *slots_from_map(F.col("lineups.lineupPlayers"), slots),
         *[json_or_null(F.col(f"lineups.{f}")).alias(name) for name, f in LINEUP_JSON.items()],
-    ).dropDuplicates([*keep, "contest_id", "lineup_hash"])
+        loaded.alias("_loaded"),
+    )
+    columns = [c for c in rows.columns if c != "_loaded"]
+    last = F.struct(F.col("_loaded").isNotNull(), "_loaded", F.to_json(F.struct(*columns)))
+    known = rows.where("lineup_hash IS NOT NULL").groupBy(*keep, "contest_id", "lineup_hash")
+    once = known.agg(F.max_by(F.struct(*columns), last).alias("_row")).select("_row.*")
+    return once.unionByName(rows.where("lineup_hash IS NULL").drop("_loaded"))
 
 
 def line_label(position: Column, rank: Column) -> Column:

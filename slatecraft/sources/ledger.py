@@ -24,8 +24,8 @@ def pending(candidates: DataFrame, done: DataFrame, keys: Sequence[str] = KEY) -
 
 
 def settled(candidates: DataFrame, run_date: Column, lag_days: int, day: str = "date") -> DataFrame:
-    """Candidates old enough that late data has arrived."""
-    return candidates.filter(F.to_date(day) <= F.date_sub(run_date, lag_days))
+    """Candidates old enough that late data has arrived; names that are no dates are left out."""
+    return candidates.filter(F.col(day).try_cast("date") <= F.date_sub(run_date, lag_days))
 
 
 def pending_or_today(
@@ -35,7 +35,7 @@ def pending_or_today(
     marked = candidates.join(
         done.select(*keys).distinct().withColumn("_done", F.lit(True)), list(keys), "left"
     )
-    wanted = (F.to_date(day) == today) | F.col("_done").isNull()
+    wanted = (F.col(day).try_cast("date") == today) | F.col("_done").isNull()
     return marked.filter(wanted).drop("_done")
 
 

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from slatecraft.plans.top_lineups import CLASSIC_SLOTS
 from slatecraft.plans import jobs, normalise
 from slatecraft.sources import layout, ledger, raw, schemas
 from slatecraft.streaming.available_now import normalise_new_files
@@ -161,7 +162,7 @@ def test_marts_from_landed_files(spark, tmp_path):
     land(root, f"NFL/draft_groups/{day}", {"contest-sources": source})
     contest = {"contest_id": 1, "contest_size": 100, "is_largest_by_size": "true", "contest_group_id": 10, "date_id": 20250907}
     land(root, f"NFL/contests/dk_classic/{day}", {"live_contests": [contest]})
-    slots = jobs.CLASSIC_SLOTS
+    slots = CLASSIC_SLOTS
     people = {
         str(i): {"playerId": i, "position": "QB" if s == "qb1" else s[:2].upper(), "rosterPosition": "X", "currentTeam": f"T{i % 3}",
                  "salary": 100, "eventId": 1, "eventTeamId": i % 2, "projPoints": 1.5, "actualPoints": i}
