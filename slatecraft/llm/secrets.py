@@ -31,14 +31,27 @@ SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
 def _found(text: Column, kind: str) -> Column:
-    """Spans of a kind. Each piece is what lies between two matches, and the second match."""
+    """Spans of a kind. Each piece is what lies between two matches, and the second match.
+
+    A piece starts where the last one ended, so the rest after the last match is searched once.
+    """
     pattern, least = KINDS[kind]
-    pieces = F.when(text.rlike(pattern), F.regexp_extract_all(text, F.lit(f"(?s).*?{pattern.replace('([', '(?:[')}"), F.lit(0)))
+    pieces = F.when(text.rlike(pattern), F.regexp_extract_all(text, F.lit(f"(?s)\\G.*?{pattern.replace('([', '(?:[')}"), F.lit(0)))
+
+    # bound as elements, so that each is worked out once
+    parts = F.transform(
+        pieces,
+        lambda p: F.struct(
+            F.length(p).alias("n"),
+            F.regexp_extract(p, pattern, 0).alias("whole"),
+            (F.regexp_extract(p, pattern, 1) if kind == "assign" else F.lit(None).cast("string")).alias("value"),
+        ),
+    )
 
-    def step(state: Column, piece: Column) -> Column:
-        whole = F.regexp_extract(piece, pattern, 0)
-        value = F.regexp_extract(piece, pattern, 1) if kind == "assign" else whole
-        end = state["at"] + F.length(piece)
+    def step(state: Column, part: Column) -> Column:
+        whole = part["whole"]
+        value = part["value"] if kind == "assign" else whole
+        end = state["at"] + part["n"]
         span = F.struct(
             (end - F.length(whole)).cast("int").alias("start"),
             F.lit(ORDER.index(kind)).alias("rank"),
@@ -53,7 +66,7 @@ def _found(text: Column, kind: str) -> Column:
         return F.struct(end.cast("int").alias("at"), spans.alias("spans"))
 
     start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
-    return F.coalesce(F.aggregate(pieces, start, step)["spans"], F.array().cast(SPAN))
+    return F.coalesce(F.aggregate(parts, start, step)["spans"], F.array().cast(SPAN))
 
 
 def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owner: str = "source", repository: tuple[str, ...] = ("source", "lang")) -> DataFrame:
@@ -65,13 +78,14 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", owne
         row_key(*[F.col(c) for c in repository]).alias("repository"),
         whole_text(text).alias("text"),
     )
-    found = rows.select("row_key", "doc_id", "owner", "repository", *[_found(F.col("text"), k).alias(k) for k in ORDER])
-    base = F.sort_array(F.concat("assign", "access", "hex"))
+    keys = ("row_key", "doc_id", "owner", "repository")
+    # inline() keeps the searches from being repeated wherever their results are used
+    found = rows.select(*keys, F.inline(F.array(F.struct(*[_found(F.col("text"), k).alias(k) for k in ORDER]))))
+    found = found.select(*keys, F.inline(F.array(F.struct(F.sort_array(F.concat("assign", "access", "hex")).alias("base"), "bare"))))
     free = F.filter("bare", lambda b: ~F.exists("base", lambda a: (a["start"] < b["end"]) & (b["start"] < a["end"])))
     hashed = lambda s: s.withField("value", F.sha2(s["value"], 256))
     return (
-        found.withColumn("base", base)
-        .withColumn("bare", free)
+        found.withColumn("bare", free)
         .select("row_key", "doc_id", "owner", "repository", F.transform("base", hashed).alias("base"), F.transform("bare", hashed).alias("bare"))
     )
 
