@@ -14,7 +14,11 @@ empty result. Only id and text are read; ``keep_ids`` keeps the ids (little-endi
 
 from __future__ import annotations
 
+import functools
 import os
+import re
+import sys
+from array import array
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
@@ -26,32 +30,43 @@ from pyspark.sql import functions as F
 from slatecraft.llm.frames import whole_text, written
 
 PIECES = "doc_id {}, piece int, start long, length int, ids binary, task int, task_rank long"
-#: Chunks between spaces whose ids a worker remembers.
-MEMO = 300_000
+#: Chunks between spaces whose ids a worker remembers in each of two generations.
+MEMO = 450_000
 
 
+@functools.lru_cache(maxsize=2)
 def encoder(path: str):
-    """Texts to bytes of ids. Between two single spaces ids don't depend on what lies around, so chunks are remembered."""
+    """Texts to bytes of ids. Between two single spaces ids don't depend on what lies around, so chunks are remembered.
+
+    A worker keeps the memory for its next tasks, in two generations: what is asked for again moves to the young one,
+    and once that is full, the old one goes. Where white space meets a space, the whole text is encoded as it is.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    import numpy as np
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    memo: dict[str, bytes] = {}
-    as_bytes = lambda encoding: np.array(encoding.ids, "<u4").tobytes()
+    young: dict[str, bytes] = {}
+    old: dict[str, bytes] = {}
+    meets = re.compile(r" \s|\s ")
+
+    def as_bytes(encoding) -> bytes:
+        ids = array("I", encoding.ids)
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def encode(texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
-        chunked = [s if "" not in s else None for s in split]
-        new = {c for s in chunked if s for c in s[1:]} - memo.keys()
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = {c for s in chunked if s for c in s[1:]}
-        new = list(new)
-        memo.update(zip(new, map(as_bytes, tokenizer.encode_batch([" " + c for c in new], add_special_tokens=False))))
-        heads = [s[0] if s else t for s, t in zip(chunked, texts)]
-        firsts = map(as_bytes, tokenizer.encode_batch(heads, add_special_tokens=False))
-        return [b"".join([first, *map(memo.__getitem__, s[1:])]) if s else first for s, first in zip(chunked, firsts)]
+        nonlocal young, old
+        if len(young) > MEMO:
+            young, old = {}, young
+        split = [None if meets.search(t) else t.split(" ") for t in texts]
+        new = {c for s in split if s for c in s[1:]} - young.keys()
+        young.update((c, old[c]) for c in new & old.keys())
+        new = list(new - old.keys())
+        young.update(zip(new, map(as_bytes, tokenizer.encode_batch_fast([" " + c for c in new], add_special_tokens=False))))
+        heads = [s[0] if s else t for s, t in zip(split, texts)]
+        firsts = map(as_bytes, tokenizer.encode_batch_fast(heads, add_special_tokens=False))
+        return [b"".join([first, *map(young.__getitem__, s[1:])]) if s else first for s, first in zip(split, firsts)]
 
     return encode
 
