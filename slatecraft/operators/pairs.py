@@ -13,6 +13,7 @@ other one level higher, and so on. No window partition holds more ids than one r
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,11 +26,12 @@ BITS = 16
 _OWN = ("n", "known", "total", "squares")
 
 
-def _levels(ids: DataFrame, bits: int) -> tuple[int, list[int]]:
-    """Smallest id, and the number of bits of each level up to one range that covers all ids."""
-    low, high = ids.agg(F.min("id"), F.max("id")).first()
+def _levels(ids: DataFrame, bits: int) -> tuple[int, list[int], float]:
+    """Smallest id, the number of bits of each level up to one range that covers all ids, and the origin of values."""
+    low, high, least, most = ids.agg(F.min("id"), F.max("id"), F.min("value"), F.max("value")).first()
     span = (high - low).bit_length() if low is not None else 0
-    return low or 0, list(range(0, max(span, 1), bits))
+    middle = least / 2 + most / 2 if least is not None else 0.0
+    return low or 0, list(range(0, max(span, 1), bits)), float(math.floor(middle)) if math.isfinite(middle) else 0.0
 
 
 def _inside_ranges(atoms: DataFrame, bits: int) -> DataFrame:
@@ -83,13 +85,16 @@ def pair_sums(
 ) -> DataFrame:
     """Sums over all pairs, per class of the first, class of the second and team relationship.
 
-    Class columns come back as ``<name>_1`` and ``<name>_2``. Counts are exact up to 2**53. The
-    range of ids is looked up first; ``ids`` may name a cheaper frame that covers all of them.
+    Class columns come back as ``<name>_1`` and ``<name>_2``. Counts are exact up to 2**53. Values are
+    summed as distances from ``origin``, the middle of all values, so that large values close to each
+    other keep their spread. The range of ids and values is looked up first; ``ids`` may name a cheaper
+    frame that covers all of them.
     """
     value = value.cast("double")
     known = F.when(value.isNotNull(), 1.0).otherwise(0.0)
-    listed = (rows if ids is None else ids).select(F.col(entity).cast("long").alias("id"))
-    low, levels = _levels(listed, bits)
+    listed = (rows if ids is None else ids).select(F.col(entity).cast("long").alias("id"), value.alias("value"))
+    low, levels, origin = _levels(listed, bits)
+    value = value - F.lit(origin)
     atoms = rows.filter(F.col(event).isNotNull() & F.col(entity).isNotNull()).select(
         F.col(event).alias("event"),
         (F.col(entity).cast("long") - F.lit(low)).alias("id"),
@@ -116,5 +121,6 @@ def pair_sums(
     return found.select(
         *[F.col(f"cls_{i}.{c}").alias(f"{c}_{i}") for i in (1, 2) for c in classes],
         "team_relationship",
+        F.lit(origin).alias("origin"),
         *[c for c in found.columns if c not in keys],
     )

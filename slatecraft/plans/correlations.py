@@ -101,8 +101,8 @@ def line_correlations(
         "line_2",
         _correlation().alias("correlation"),
         F.col("pairs").cast("long").alias("sample_size"),
-        F.try_divide("all_1", "known_1").alias("avg_points_1"),
-        F.try_divide("all_2", "known_2").alias("avg_points_2"),
+        (F.try_divide("all_1", "known_1") + F.col("origin")).alias("avg_points_1"),
+        (F.try_divide("all_2", "known_2") + F.col("origin")).alias("avg_points_2"),
         deviation_from_sums(F.col("known_1"), F.col("all_1"), F.col("all_squares_1")).alias("stddev_points_1"),
         deviation_from_sums(F.col("known_2"), F.col("all_2"), F.col("all_squares_2")).alias("stddev_points_2"),
     )

@@ -1,7 +1,8 @@
 """Normalise newly landed files with Structured Streaming.
 
-The stream's checkpoint remembers which files were read, in place of the ledger. It suits landed
-folders that are only ever added to; a date that lands again is what the ledger jobs are for.
+The stream's checkpoint remembers which files were read, in place of the ledger. A batch tells which
+dates have new files; these dates are then read as a whole and replaced, so a file that lands late
+adds to its date. Game types are those of the ledger jobs.
 """
 
 from __future__ import annotations
@@ -10,36 +11,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from slatecraft.functions.dates import path_part
-from slatecraft.plans.jobs import TABLES
+from slatecraft.functions.text import NORMALISED_SLATE_TYPES
+from slatecraft.plans.jobs import TABLES, read_landed
 from slatecraft.sources.sinks import replace_partitions
 
 
 def normalise_new_files(
     spark: SparkSession, landed: str, sport: str, table: str, out: str, checkpoint: str
 ) -> StreamingQuery:
-    """Read all files not seen before, replace the partitions of their dates, and stop.
+    """Replace the partitions of all dates that have files not seen before, and stop.
 
-    A date lands as a whole, so a batch holds whole dates, and a batch that is repeated after a
-    failure writes the same partitions again. ``checkpoint`` lies on shared storage.
+    A batch that is repeated after a failure writes the same partitions again. ``checkpoint`` lies on
+    shared storage.
     """
     job = TABLES[table]
-    depth = "*/*" if job.by_game_type else "*"
-    raw = (
+    game_types = f"{{{','.join(NORMALISED_SLATE_TYPES)}}}/" if job.by_game_type else ""
+    arrived = (
         spark.readStream.schema(job.schema)
-        .json(f"{landed}/{sport}/{job.source}/{depth}")
-        .select("*", F.col("_metadata.file_path").alias("_path"))
-        .withColumn("date", path_part(F.col("_path"), -2))
-        .withColumn("sport", F.lit(sport))
+        .json(f"{landed}/{sport}/{job.source}/{game_types}*")
+        .select(F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "").alias("folder"))
     )
-    if job.by_game_type:
-        raw = raw.withColumn("game_type", path_part(F.col("_path"), -3))
 
     def write(batch: DataFrame, _: int) -> None:
-        replace_partitions(job.normalise(batch.drop("_path")), f"{out}/{table}")
+        folders = [row["folder"] for row in batch.distinct().collect()]  # a row per date and game type
+        if folders:
+            replace_partitions(job.normalise(read_landed(batch.sparkSession, folders, job)), f"{out}/{table}")
 
     return (
-        raw.writeStream.foreachBatch(write)
+        arrived.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -67,9 +67,28 @@ def test_stream_reads_each_file_once(spark, tmp_path, landed):
         query.awaitTermination(120)
         return spark.read.parquet(str(tmp_path / "out" / "contests")).count()
 
-    assert stream() == 7
+    assert stream() == 6
     land(landed, "NFL/contests/dk_classic/2025-09-12", {"live_contests": [CONTEST]})
-    assert stream() == 8
+    assert stream() == 7
+
+
+def test_stream_gives_what_the_ledger_job_gives(spark, tmp_path, landed):
+    """A file that lands late for a date adds to it; game types outside the jobs stay out."""
+    out = tmp_path / "streamed"
+
+    def stream():
+        normalise_new_files(spark, str(landed), "NFL", "contests", str(out), str(tmp_path / "checkpoint")).awaitTermination(120)
+
+    stream()
+    late = landed / "NFL/contests/dk_classic/2025-09-11/late.json"
+    late.write_text(json.dumps({"live_contests": [CONTEST | {"contest_id": 990}]}) + "\n")
+    land(landed, "NFL/contests/dk_tiers/2025-09-11", {"live_contests": [CONTEST]})
+    stream()
+    run(spark, tmp_path, landed, "2025-12-01")
+    by_job = spark.read.parquet(str(tmp_path / "dds" / "contests"))
+    by_stream = spark.read.parquet(str(out / "contests")).select(by_job.columns)
+    assert by_stream.where("contest_id = 990").count() == 1
+    assert by_stream.exceptAll(by_job).isEmpty() and by_job.exceptAll(by_stream).isEmpty()
 
 
 def test_refresh_today_and_skip_finished(spark):

@@ -1,4 +1,5 @@
 import random
+import statistics
 from collections import defaultdict
 
 import pytest
@@ -7,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from slatecraft.operators import keyed, pairs, quality, ranking, reshape
-from tests.helpers import rows
+from slatecraft.plans.correlations import position_correlations
+from tests.helpers import one, rows
 
 
 def test_top1_is_the_same_for_any_partitioning(spark):
@@ -108,6 +110,7 @@ def test_pair_sums_match_all_pairs(spark, bits):
     assert {(r["c_1"], r["c_2"], r["team_relationship"]) for r in got} == set(expected)
     for r in got:
         both = expected[(r["c_1"], r["c_2"], r["team_relationship"])]
+        both = [tuple(None if v is None else v - r["origin"] for v in pair) for pair in both]  # sums are of distances
         known = [(x, y) for x, y in both if x is not None and y is not None]
         assert r["pairs"] == len(both)
         assert r["both"] == len(known)
@@ -119,6 +122,16 @@ def test_pair_sums_match_all_pairs(spark, bits):
         assert r["all_squares_2"] == sum(y * y for _, y in both if y is not None)
 
 
+def test_large_values_close_to_each_other_correlate(spark):
+    """Ten million and a digit: the spread is a millionth of the size, and still there."""
+    rng = random.Random(3)
+    data = [(e, p, 0, c, 1e7 + rng.randrange(10)) for e in range(100) for p, c in ((1, "A"), (2, "B"))]
+    df = spark.createDataFrame(data, "event_id int, player_id int, event_team_id int, position string, actual_points double")
+    got = one(position_correlations(df.withColumn("proj_points", F.lit(1.0)), more_than=1))
+    first, second = ([x for _, _, _, c, x in data if c == k] for k in "AB")
+    assert abs(got["correlation"] - statistics.correlation(first, second)) < 1e-9
+
+
 def test_profile_of_a_small_table(spark):
     df = spark.createDataFrame([(1, "a"), (3, None), (None, "b")], "n int, s string")
     got = {r["column_name"]: r for r in quality.profile(df).collect()}
