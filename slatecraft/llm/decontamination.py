@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slatecraft.llm.frames import row_key, whole_text, written
+from slatecraft.llm.frames import row_key, unused, whole_text, written
 
 WIDTH = 8
 LEAST_WORDS = 5
@@ -131,5 +131,6 @@ def _value(word: Column) -> Column:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The documents that leak no item, with all their columns."""
-    bad = leaks(docs, benchmark, doc_id=doc_id, text=text, **options).select(F.col("row_key").alias("_key")).distinct()
-    return docs.withColumn("_key", row_key(F.col(doc_id), F.col(text))).join(bad, "_key", "left_anti").select(*docs.columns)
+    (key,) = unused(docs, "_key")
+    bad = leaks(docs, benchmark, doc_id=doc_id, text=text, **options).select(F.col("row_key").alias(key)).distinct()
+    return docs.withColumn(key, row_key(F.col(doc_id), F.col(text))).join(bad, key, "left_anti").select(*docs.columns)

@@ -48,5 +48,16 @@ def row_key(*columns: Column) -> Column:
     return F.md5(F.concat_ws("\x1f", *parts))
 
 
+def unused(frame: DataFrame, *names: str) -> tuple[str, ...]:
+    """The names, lengthened until no column of the frame has them in any case."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return tuple(out)
+
+
 def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slatecraft.llm.components import components
-from slatecraft.llm.frames import row_key, whole_text, written
+from slatecraft.llm.frames import row_key, unused, whole_text, written
 
 WORDS = 5
 LEAST = 0.8
@@ -232,8 +232,9 @@ def join(docs: DataFrame, words: int = WORDS, least: float = LEAST, doc_id: str
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each class, with all its columns; documents without words all stay."""
+    key, repeated = unused(docs, "_key", "_repeated")
     keep = join(docs, doc_id=doc_id, text=text, **options).groupBy("row_key").agg(F.max(F.col("row_key") == F.col("keeper")).alias("kept"), F.count("*").alias("_times"), F.max("n_links").alias("links"))
-    keep = written(keep.where("kept").select(F.col("row_key").alias("_key"), ((F.col("_times") > 1) & (F.col("links") > 0)).alias("_repeated")))
-    kept = docs.withColumn("_key", row_key(F.col(doc_id), F.col(text))).join(keep, "_key")
-    once = kept.where("NOT _repeated").select(*docs.columns)
-    return once.union(kept.where("_repeated").dropDuplicates(["_key"]).select(*docs.columns))
+    keep = written(keep.where("kept").select(F.col("row_key").alias(key), ((F.col("_times") > 1) & (F.col("links") > 0)).alias(repeated)))
+    kept = docs.withColumn(key, row_key(F.col(doc_id), F.col(text))).join(keep, key)
+    once = kept.where(~F.col(repeated)).select(*docs.columns)
+    return once.union(kept.where(F.col(repeated)).dropDuplicates([key]).select(*docs.columns))

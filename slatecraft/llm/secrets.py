@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slatecraft.llm.frames import row_key, whole_text, written
+from slatecraft.llm.frames import row_key, unused, whole_text, written
 
 # fixed values: the base patterns; letters of the first in either case
 KEYWORD = "(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
@@ -141,10 +141,11 @@ def redact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **option
 
     Live spans go; spans of widely copied examples stay, but for base kinds, which always go.
     """
-    spans = scan(docs, doc_id=doc_id, text=text, **options).where(F.size("spans") > 0).select(F.col("row_key").alias("_key"), F.col("spans").alias("_spans")).dropDuplicates(["_key"])
-    joined = docs.withColumn("_key", row_key(F.col(doc_id), F.col(text))).join(spans, "_key", "left")
-    clean = F.when(F.col("_spans").isNotNull(), redacted(F.col(text), F.col("_spans"))).otherwise(F.col(text))
+    key, found = unused(docs, "_key", "_spans")
+    spans = scan(docs, doc_id=doc_id, text=text, **options).where(F.size("spans") > 0).select(F.col("row_key").alias(key), F.col("spans").alias(found)).dropDuplicates([key])
+    joined = docs.withColumn(key, row_key(F.col(doc_id), F.col(text))).join(spans, key, "left")
+    clean = F.when(F.col(found).isNotNull(), redacted(F.col(text), F.col(found))).otherwise(F.col(text))
     changed = {text: clean.alias(text)}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_spans").isNotNull(), F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars")
+        changed["n_chars"] = F.when(F.col(found).isNotNull(), F.length(clean).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")).alias("n_chars")
     return joined.select(*[changed.get(c, F.col(c)) for c in docs.columns])

@@ -202,3 +202,15 @@ def test_pivots_against_brute_force(spark):
     assert len(found) == len(rows) and not found.loc[200:, "n_links"].any()
     got = found.loc[: len(x) - 1, "n_links"].to_numpy()
     assert (got <= linked.sum(axis=1)).all() and got.sum() >= 0.9 * linked.sum()
+
+
+def test_stages_keep_columns_of_any_name(spark, data):
+    """Names that the operators use themselves, as columns of the documents."""
+    names = ["_key", "_repeated", "_spans", "_loss", "_BYTES", "kept", "threshold"]
+    table = docs(spark, "token=abcdefgh9 in a text of some words", "Another text.", None).select("*", *[F.lit(n).alias(n) for n in names])
+    labels = spark.read.parquet(f"{data}/labels.parquet").limit(0)
+    bench = spark.createDataFrame([(1, "One two three four five six seven eight nine ten.")], "item_id long, text string")
+    for made in (quality.keep(table, labels), jaccard.deduplicate(table), decontamination.decontaminate(table, bench), secrets.redact(table)):
+        assert made.columns == table.columns
+        assert sorted(r["doc_id"] for r in made.collect()) == [0, 1, 2]
+        assert {tuple(r[n] for n in names) for r in made.collect()} == {tuple(names)}
