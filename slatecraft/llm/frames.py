@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import math
 import tempfile
 import uuid
 
@@ -39,6 +40,15 @@ def written(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
 
 
+#: Rows of a narrow table that one task writes.
+ROWS_PER_FILE = 250_000
+
+
+def few_files(frame: DataFrame, rows: float) -> DataFrame:
+    """A narrow frame of at most so many rows, in as many partitions as these fill."""
+    return frame.coalesce(max(1, math.ceil(rows / ROWS_PER_FILE)))
+
+
 def row_key(*columns: Column) -> Column:
     """128 bits for the values of some columns; null differs from every text. Equal rows share a key."""
     parts = []

@@ -4,7 +4,7 @@ A set of shingles chooses a few of its tokens by a hash that all sets share, ane
 that chose one token share a path. Paths with one set end; small ones are brute-forced; larger ones are split
 by the next level's chosen tokens, unless their sets are alike already (few distinct minhash values) or the
 levels are used up, then they are brute-forced block by block. Sets whose sketches agree enough become
-candidates, linked by one edge each to the smallest candidate of the path. Within the components of these edges,
+candidates; all that these connect in a block are linked by one edge each to one of them. Within the components of these edges,
 blocks of whole texts are compared exactly. Tasks give counts by set, never all pairs.
 
 Texts are lower-cased and split at white space. Texts shorter than a shingle have one shingle: all their words.
@@ -20,8 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slatecraft.llm.bytegrams import chunks
 from slatecraft.llm.components import components
-from slatecraft.llm.frames import row_key, unused, whole_text, written
+from slatecraft.llm.frames import few_files, row_key, unused, whole_text, written
 
 WORDS = 5
 LEAST = 0.8
@@ -48,57 +49,85 @@ def _mixed(x: np.ndarray, seed: int) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingles(text: str, words: int = WORDS) -> np.ndarray:
-    """Sorted distinct hashes of the shingles of a text; none for a text without words."""
-    plain = " ".join(text.lower().split()).encode("utf-8", "surrogatepass")
-    if not plain:
-        return np.empty(0, np.uint64)
-    raw = np.frombuffer(plain + b" ", np.uint8)
+def hashed(texts: list[str], words: int = WORDS) -> list[np.ndarray]:
+    """By text: sorted distinct hashes of its shingles; none for a text without words."""
+    plain = [" ".join(t.lower().split()).encode("utf-8", "surrogatepass") for t in texts]
+    filled = [p for p in plain if p]
+    if not filled:
+        return [np.empty(0, np.uint64) for _ in texts]
+    raw = np.frombuffer(b" ".join(filled) + b" ", np.uint8)
     ends = np.flatnonzero(raw == 32)
     starts = np.concatenate([[0], ends[:-1] + 1])
-    codes = _mixed(raw.astype(np.uint64) + np.uint64(1), 7)
     # a word's hash: its bytes' codes times powers of an odd number, from the word's start
+    codes = _mixed(np.arange(256, dtype=np.uint64) + np.uint64(1), 7)[raw]
     place = np.arange(len(raw)) - np.repeat(starts, np.diff(np.append(starts, len(raw))))
     power = np.cumprod(np.full(int(place.max()) + 1, 0x100000001B3, np.uint64))
     total = np.cumsum(codes * power[place])
     word = _mixed(total[ends] - np.concatenate([[np.uint64(0)], total[ends[:-1]]]), 11)
-    n = min(words, len(word))
-    out = np.zeros(len(word) - n + 1, np.uint64)
-    for k in range(n):
-        out = _mixed(out + word[k : len(word) - n + 1 + k], 13 + k)
-    return np.unique(out)
+
+    def mixed_run(n: int, part: np.ndarray) -> np.ndarray:
+        out = np.zeros(max(0, len(part) - n + 1), np.uint64)
+        for k in range(n):
+            out = _mixed(out + part[k : len(part) - n + 1 + k], 13 + k)
+        return out
+
+    every = mixed_run(words, word)  # windows across two texts are left out below
+    out, at = [], 0
+    for p in plain:
+        if not p:
+            out.append(np.empty(0, np.uint64))
+            continue
+        n = p.count(b" ") + 1
+        out.append(np.unique(every[at : at + n - words + 1]) if n >= words else mixed_run(n, word[at : at + n]))
+        at += n
+    return out
 
 
 def described(docs: DataFrame, words: int, doc_id: str, text: str) -> DataFrame:
     """row_key, doc_id, set_key, size, sketch and the chosen tokens of each run and level."""
+    stretches = RUNS * LEVELS
     # each run and level has a stretch of the hash range of its own, which starts at the same place for all sets
-    begin = (np.arange(RUNS * LEVELS, dtype=np.float64) / (RUNS * LEVELS) * 2.0**64).astype(np.uint64)
+    begin = (np.arange(stretches, dtype=np.float64) / stretches * 2.0**64).astype(np.uint64)
+    bins = np.arange(SKETCH, dtype=np.uint64) << np.uint64(57)
 
     def sets(batches):
+        import pyarrow as pa
+
         for batch in batches:
-            rows = []
-            for key, own, body in zip(batch["row_key"], batch["doc_id"], batch["text"]):
-                s = shingles(body, words)
-                if not len(s):
-                    continue
-                h = np.sort(_mixed(s, 5))
-                wide = np.uint64(min(2**63, int(CHOSEN / len(s) * 2**64)))
-                low = np.searchsorted(h, begin)
-                high = np.searchsorted(h, begin + wide)  # runs round past the top
-                signed = h.view(np.int64)
-                chosen = []
-                for a, b, wraps in zip(low, high, begin + wide < begin):
-                    picked = np.concatenate([signed[a:], signed[:b]]) if wraps else signed[a:b]
-                    chosen.append(picked if len(picked) else signed[[a % len(h)]])
-                # one permutation: smallest hash of each of SKETCH bins; an empty bin takes the next full one's
-                spread = np.sort(_mixed(s, 6))
-                first = np.searchsorted(spread, np.arange(SKETCH, dtype=np.uint64) << np.uint64(57))
-                sketch = spread[first % len(spread)].astype(np.uint16)
-                rows.append((key, own, int(len(s)), _digest(s), sketch.tobytes(), int(spread[0] & np.uint64(2**63 - 1)), chosen))
-            yield pd.DataFrame(rows, columns=["row_key", "doc_id", "size", "set_key", "sketch", "low", "chosen"])
-
-    rows = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row_key"), F.col(doc_id).cast("string").alias("doc_id"), whole_text(text).alias("text"))
-    return rows.mapInPandas(sets, "row_key string, doc_id string, size int, set_key binary, sketch binary, low long, chosen array<array<long>>").withColumn("doc_id", F.col("doc_id").cast("long"))
+            keys, owns, texts = (batch.column(k).to_pylist() for k in range(3))
+            at = 0
+            for run in chunks(texts):
+                found = hashed(run, words)
+                kept = [i for i, s in enumerate(found) if len(s)]
+                found, sizes, digests, sketches, lows, tokens, times = [found[i] for i in kept], [], [], [], [], [], []
+                for s in found:
+                    h = np.sort(_mixed(s, 5))
+                    wide = np.uint64(min(2**63, int(CHOSEN / len(s) * 2**64)))
+                    low, high = np.searchsorted(h, begin), np.searchsorted(h, begin + wide)
+                    high += len(h) * (begin + wide < begin)  # runs round past the top
+                    many = np.maximum(high - low, 1)  # an empty stretch takes the next token
+                    spots = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+                    tokens.append(h[spots % len(h)])
+                    times.append(many)
+                    # one permutation: smallest hash of each of SKETCH bins; an empty bin takes the next full one's
+                    spread = np.sort(_mixed(s, 6))
+                    sketches.append(spread[np.searchsorted(spread, bins) % len(spread)].astype(np.uint16).tobytes())
+                    lows.append(int(spread[0] & np.uint64(2**63 - 1)))
+                    sizes.append(len(s))
+                    digests.append(_digest(s))
+                flat = np.concatenate(tokens).view(np.int64) if tokens else np.empty(0, np.int64)
+                inner = np.concatenate([[0], np.cumsum(np.concatenate(times))]) if times else np.zeros(1)
+                lists = pa.ListArray.from_arrays(pa.array(inner.astype(np.int32)), pa.array(flat))
+                chosen = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1, dtype=np.int32) * stretches), lists)
+                columns = [
+                    pa.array([keys[at + i] for i in kept], pa.string()), pa.array([owns[at + i] for i in kept], pa.int64()), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
+                    pa.array(sketches, pa.binary()), pa.array(lows, pa.int64()), chosen,
+                ]
+                at += len(run)
+                yield pa.RecordBatch.from_arrays(columns, ["row_key", "doc_id", "size", "set_key", "sketch", "low", "chosen"])
+
+    rows = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row_key"), F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
+    return rows.mapInArrow(sets, "row_key string, doc_id long, size int, set_key binary, sketch binary, low long, chosen array<array<long>>")
 
 
 def _digest(s: np.ndarray) -> bytes:
@@ -108,10 +137,22 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def alike(sketches: np.ndarray, other: np.ndarray) -> np.ndarray:
-    out = np.empty((len(sketches), len(other)), np.float32)
-    for i, row in enumerate(sketches):
-        out[i] = (other == row).mean(axis=1)
-    return out
+    """Share of equal bins of each of some sketches and each of others; both have a row for each bin."""
+    same = np.zeros((sketches.shape[1], other.shape[1]), np.uint8)
+    for mine, theirs in zip(sketches, other):
+        same += mine[:, None] == theirs
+    return same / np.float32(len(sketches))
+
+
+def connected(linked: np.ndarray) -> np.ndarray:
+    """By row of a symmetric matrix of links: the first row that it reaches, over others as well."""
+    label = np.arange(len(linked))
+    while True:
+        least = np.minimum(label, np.where(linked, label[None, :], len(label)).min(axis=1))
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
 
 
 def candidate_edges(sets: DataFrame, least: float = LEAST) -> DataFrame:
@@ -128,7 +169,7 @@ def candidate_edges(sets: DataFrame, least: float = LEAST) -> DataFrame:
         at = written(at)
         counts = at.groupBy("path").agg(F.count("*").alias("n"), F.approx_count_distinct("low").alias("kinds")).where("n > 1")
         split = (F.col("n") > SMALL) & (F.col("kinds") > ALIKE * F.col("n")) & F.lit(level < LEVELS - 1)
-        counts = written(counts.withColumn("split", split))
+        counts = written(few_files(counts.withColumn("split", split), at.count() / 2))
         here = at.join(counts.where("NOT split").select("path", "n"), "path").select("path", "node", "n")
         leaves = here if leaves is None else leaves.union(here)
         split_counts = counts.where("split").select("path")
@@ -159,23 +200,24 @@ def candidate_edges(sets: DataFrame, least: float = LEAST) -> DataFrame:
             node = batch["node"].to_numpy()[start:stop]
             own = batch["own"].to_numpy()[start:stop]
             size = batch["size"].to_numpy(np.float64)[start:stop]
-            sketch = np.frombuffer(b"".join(batch["sketch"].iloc[start:stop]), np.uint16).reshape(-1, SKETCH)
+            sketch = np.frombuffer(b"".join(batch["sketch"].iloc[start:stop]), np.uint16).reshape(-1, SKETCH).T.copy()
             cross = batch["low"].iloc[start] != batch["high"].iloc[start]
+            near = np.zeros((len(node), len(node)), bool)
             for at in range(0, len(node), 256):
                 deviation = np.sqrt(least * (1 - least) * (1 / SKETCH + 2 / np.minimum(size[at : at + 256, None], size[None, :])))
-                near = alike(sketch[at : at + 256], sketch) >= least - DEVIATIONS * deviation
-                if cross:
-                    near &= own[at : at + 256, None] != own[None, :]
-                smallest = np.where(near, node[None, :], np.iinfo(np.int64).max).min(axis=1)
-                out += [(int(a), int(b)) for a, b in zip(node[at : at + 256], smallest) if b < a]
+                near[at : at + 256] = alike(sketch[:, at : at + 256], sketch) >= least - DEVIATIONS * deviation
+            if cross:
+                near &= own[:, None] != own[None, :]
+            head = node[connected(near)]
+            out += [(int(a), int(b)) for a, b in zip(node, head) if a != b]
         return out
 
-    return dealt.mapInPandas(task, "a long, b long").distinct()
+    return dealt.mapInPandas(task, "a long, b long")
 
 
 def exact(groups: pd.DataFrame, cross: bool, words: int, least: float) -> pd.DataFrame:
-    """By set: copies of the sets linked with it, and the smallest of these."""
-    sets = [shingles(t, words) for t in groups["text"]]
+    """By set: copies of the sets linked with it, and one set for all that links connect."""
+    sets = [s for run in chunks(groups["text"].tolist()) for s in hashed(run, words)]
     sizes = np.array([len(s) for s in sets])
     tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     values, code, times = np.unique(tokens, return_inverse=True, return_counts=True)
@@ -196,8 +238,7 @@ def exact(groups: pd.DataFrame, cross: bool, words: int, least: float) -> pd.Dat
         own = groups["own"].to_numpy()
         linked &= own[:, None] != own[None, :]
     node, copies = groups["node"].to_numpy(), groups["copies"].to_numpy()
-    smallest = np.minimum(node, np.where(linked, node[None, :], np.iinfo(np.int64).max).min(axis=1))
-    out = pd.DataFrame({"node": node, "n": linked @ copies, "least": smallest})
+    out = pd.DataFrame({"node": node, "n": linked @ copies, "head": node[connected(linked)]})
     return out[out["n"] > 0]
 
 
@@ -218,8 +259,8 @@ def join(docs: DataFrame, words: int = WORDS, least: float = LEAST, doc_id: str
     def task(key, group):
         return exact(group, key[1] != key[2], words, least)
 
-    found = written(dealt.select("component", "low", "high", "own", "node", "copies", "text").groupBy("component", "low", "high").applyInPandas(task, "node long, n long, least long"))
-    classes = components(found.select(F.col("node").alias("a"), F.col("least").alias("b")))
+    found = written(dealt.select("component", "low", "high", "own", "node", "copies", "text").groupBy("component", "low", "high").applyInPandas(task, "node long, n long, head long"))
+    classes = components(found.select(F.col("node").alias("a"), F.col("head").alias("b")))
     totals = found.groupBy("node").agg(F.sum("n").alias("n"))
     named = merged.select("node", "set_key", "copies", "doc_id", "row_key").join(classes, "node", "left").join(totals, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = named.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")).alias("head"))

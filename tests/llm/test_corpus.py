@@ -187,6 +187,25 @@ def jaccard_removed(spark, table):
     return table.count() - jaccard.deduplicate(table).count()
 
 
+def test_jaccard_chain_keeps_the_middle_link(spark):
+    words = [f"w{i}" for i in range(400)]
+    ends = " ".join(words[:360]), " ".join(words[40:]), " ".join(words)
+    for order in ((0, 1, 2), (2, 0, 1), (0, 2, 1)):
+        found = jaccard.join(docs(spark, *[ends[i] for i in order])).toPandas().sort_values("doc_id")
+        assert found["class_id"].tolist() == [0, 0, 0]
+        assert found["n_links"].tolist() == [2 if i == 2 else 1 for i in order]
+
+
+def test_components_of_chains_and_rounds(spark, monkeypatch):
+    from slatecraft.llm import components as module
+
+    edges = spark.range(0, 400).selectExpr("id AS a", "id + 1 AS b").union(spark.range(500, 520).selectExpr("id AS a", "500L AS b"))
+    expected = {i: 0 for i in range(401)} | {i: 500 for i in range(500, 520)}
+    for size in (1_000_000, 50):
+        monkeypatch.setattr(module, "EDGES", size)
+        assert {r["node"]: r["component"] for r in module.components(edges).collect()} == expected
+
+
 def test_pivots_against_brute_force(spark):
     rng = np.random.default_rng(1)
     base = rng.normal(size=(60, 16))
