@@ -17,6 +17,14 @@ POSITIONS = ("QB", "RB", "WR", "TE", "K", "D")
 ENTRY_LIMIT = 100
 
 
+def large_contests(
+    contests: DataFrame, size_categories: Sequence[str], entry_limit: int, tiers=SIZE_TIERS, above: str = SIZE_TIER_ABOVE
+) -> DataFrame:
+    """Ids of large contests that allow many entries."""
+    large = size_tier(F.col("contest_size"), tiers, above).isin(*size_categories)
+    return contests.filter(large & (F.col("multi_entry_max") >= entry_limit)).select("contest_id")
+
+
 def entered(
     user_lineups: DataFrame,
     contests: DataFrame,
@@ -27,10 +35,7 @@ def entered(
     above: str = SIZE_TIER_ABOVE,
 ) -> DataFrame:
     """Entries of one user, or of all, in large contests that allow many entries."""
-    wanted = contests.filter(
-        size_tier(F.col("contest_size"), tiers, above).isin(*size_categories)
-        & (F.col("multi_entry_max") >= entry_limit)
-    ).select("contest_id")
+    wanted = large_contests(contests, size_categories, entry_limit, tiers, above)
     entries = user_lineups if user is None else user_lineups.filter(F.col("user_id") == user)
     return entries.join(wanted, "contest_id")
 
@@ -56,9 +61,11 @@ def exposure(
     key = ["user_id", "contest_id"]
     entry_counts = entries.groupBy(*key).agg(F.count("lineup_hash").alias("entries"))
     columns = slot_columns(slots)
+    # line-ups of other contests go before the rest is made distinct
+    own = lineups.join(large_contests(contests, size_categories, entry_limit), "contest_id", "left_semi")
     full = entries.select(*key, "lineup_hash").distinct().join(
         distinct_on(
-            lineups.select("contest_id", "lineup_hash", "date_id", "total_salary", "total_own", *columns),
+            own.select("contest_id", "lineup_hash", "date_id", "total_salary", "total_own", *columns),
             ["contest_id", "lineup_hash"],
         ),
         ["contest_id", "lineup_hash"],

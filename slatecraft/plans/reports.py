@@ -185,13 +185,12 @@ def player_results(players: DataFrame, lineups: DataFrame, slots: Sequence[str])
     """Per player: in how many line-ups, and how those did.
 
     The slots become rows and join on equality, which replaces a join on "any slot equals". A
-    player in several slots of a line-up counts once for it.
+    player in several slots of a line-up counts once for it: repeats go inside the row, without a
+    shuffle, and the counts below are merged before theirs.
     """
-    key = ["contest_id", "lineup_hash"]
-    rostered = (
-        unpivot_filled(lineups, [*key, "points", "is_cashing"], slot_columns(slots), "slot", "player_id")
-        .drop("slot")
-        .distinct()
+    held = F.array_distinct(F.array(*slot_columns(slots)))
+    rostered = lineups.select("points", "is_cashing", F.explode(held).alias("player_id")).filter(
+        F.col("player_id").isNotNull()
     )
     per_player = rostered.groupBy("player_id").agg(
         F.count("*").alias("times_rostered"),

@@ -88,3 +88,14 @@ def test_results_do_not_depend_on_partitions(spark, data, name):
 def test_counting_rows_per_key(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3)], "k string, v int")
     assert sorted(tuple(r) for r in keyed.counts_joined(df, ["k"], "n").collect()) == [("a", 1, 2), ("a", 2, 2), ("b", 3, 1)]
+
+
+def test_exposure_drops_other_contests_before_it_makes_lineups_distinct(spark, data):
+    plan = catalogue.QUERIES["mrt15_exposure"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    semi = [i for i, line in enumerate(plan.splitlines()) if "LeftSemi" in line]
+    assert semi and any("Aggregate" in line for line in plan.splitlines()[: semi[0]])
+
+
+def test_player_results_make_repeats_distinct_in_the_row(spark, data):
+    plan = catalogue.QUERIES["doc14_player_results"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" in plan
