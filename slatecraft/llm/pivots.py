@@ -1,11 +1,15 @@
 """Near-duplicate vectors by a pivot-permutation index.
 
-Reference vectors (pivots) are a bounded sample. Every vector is described by its nearest pivots in order. An
+Reference vectors (pivots) are a bounded sample of vectors that lie far apart, so a group of near copies has few
+of them and its members have the same nearest ones, however large it is. Every vector is described by its nearest pivots in order. An
 inverted list of each label and pivot holds the vectors that have it among their nearest; two vectors that
 share enough pivots are candidates and are verified by their cosine in double precision. A pair belongs to
 the first list they share, so it is counted once. A long list is cut into blocks and compared block by
 block. Tasks give counts by vector and one edge to the smallest vector that links reach in the block, never all pairs.
 
+Where vectors lie too close for more than ``nearest`` squared such pivots, lists would compare no less than every
+pair: all vectors of that width share one list, and every pair of a label is compared.
+
 Equal vectors of a label are merged first and counted. Vectors that are null, zero or hold null or
 non-finite numbers, and null labels, link with nothing and stand alone. Repeated ids are rows of one vector id
 each. No rows give none; extra columns stay unread.
@@ -25,6 +29,9 @@ from slatecraft.llm.frames import written
 PIVOTS = 256
 NEAREST = 8
 SHARED = 2
+#: Pivots have a cosine below this to each other, and are looked for among so many vectors for each of them.
+APART = 0.6
+SAMPLED = 4
 BLOCK = 2048
 
 
@@ -38,24 +45,32 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 
 def reference_points(merged: DataFrame, most: int) -> dict[int, np.ndarray]:
-    """Unit pivots by number of components: a sample of at most ``most`` vectors, the same on every run."""
-    sample = merged.select("width", "v", "key").orderBy(F.xxhash64("key"), "key").limit(most).collect()
+    """Unit pivots by number of components: at most ``most`` vectors in the order of a hash that lie apart from those before."""
+    sample = merged.select("width", "v", "key").orderBy(F.xxhash64("key"), "key").limit(SAMPLED * most).collect()
     by_width: dict[int, list] = {}
     for row in sample:
         by_width.setdefault(row["width"], []).append(row["v"])
-    return {w: _unit(np.array(v)) for w, v in by_width.items()}
+    return {w: apart(_unit(np.array(v)))[:most] for w, v in by_width.items()}
+
+
+def apart(unit: np.ndarray) -> np.ndarray:
+    """The rows whose cosine to every kept row before them is below ``APART``."""
+    kept = []
+    for i, row in enumerate(unit):
+        if not kept or (unit[kept] @ row).max() < APART:
+            kept.append(i)
+    return unit[kept]
 
 
 def described(merged: DataFrame, points: dict[int, np.ndarray], nearest: int) -> DataFrame:
-    """The unit vector (bytes) and its ``nearest`` pivots, nearest first. Widths without a pivot use pivot 0 alone."""
+    """The unit vector (bytes) and its ``nearest`` pivots, nearest first. Widths with few pivots use pivot 0 alone."""
 
     def near(batches):
         for batch in batches:
             for width, part in batch.groupby("width"):
                 x = _unit(np.array(part["v"].tolist(), np.float64))
-                if width in points:
-                    k = min(nearest, len(points[width]))
-                    order = np.argsort(-(x @ points[width].T), axis=1, kind="stable")[:, :k]
+                if len(points.get(width, ())) > nearest**2:
+                    order = np.argsort(-(x @ points[width].T), axis=1, kind="stable")[:, :nearest]
                 else:
                     order = np.zeros((len(x), 1), np.int64)
                 yield pd.DataFrame({"label": part["label"], "width": part["width"], "vec_id": part["vec_id"], "copies": part["copies"], "unit": [r.tobytes() for r in x], "near": [o.astype(np.int32) for o in order]})

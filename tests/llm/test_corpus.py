@@ -223,6 +223,17 @@ def test_pivots_against_brute_force(spark):
     assert (got <= linked.sum(axis=1)).all() and got.sum() >= 0.9 * linked.sum()
 
 
+def test_pivots_find_the_links_of_a_large_group(spark):
+    """A third of the vectors are near copies of one another."""
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=64) + 0.25 * rng.normal(size=(400, 64)), rng.normal(size=(800, 64))])
+    found = pivots.links(spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")).toPandas().set_index("vec_id")
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    linked = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    got = found["n_links"].sort_index().to_numpy()
+    assert linked[:400].mean() > 250 and (got <= linked).all() and got.sum() >= 0.98 * linked.sum()
+
+
 def test_stages_keep_columns_of_any_name(spark, data):
     """Names that the operators use themselves, as columns of the documents."""
     names = ["_key", "_repeated", "_spans", "_loss", "_BYTES", "kept", "threshold"]
