@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
 Numbers, units and names become typed placeholders, everything else lower-case words without
-punctuation. Windows of canonical words of all documents meet the windows of the benchmark in a hash
+punctuation. A capitalised word at a sentence start may be a name or not: windows are made with it as a
+word, and with it as a name unless it is a function word. Windows of canonical words of all documents meet the windows of the benchmark in a hash
 join. Hits on one diagonal (document position less item position) are then checked for slot
 consistency: a slot value of the item must stand for one value in the document throughout. So a
 question copied with other names and numbers is caught, and a chance template is not.
@@ -18,56 +19,94 @@ from pyspark.sql import functions as F
 
 from slatecraft.llm.frames import row_key, unused, whole_text, written
 
+#: Stands before a capitalised word at a sentence start.
+START = "\x04"
 WIDTH = 8
 LEAST_WORDS = 5
 #: Rows of benchmark windows up to which they are broadcast (16 bytes and an overhead each).
 BROADCAST_WINDOWS = 500_000
+# fixed values: words that are no names at a sentence start
+FUNCTION_WORDS = (
+    "the an and or but nor so yet if then than as at by for from in into of off on onto out over to under up with within without about above after again against along among around before behind below between beyond during "
+    "except inside near since through until upon is are was were be been being am do does did done has have had can could may might must shall should will would not no nor he she it its they them their we us our you your my me "
+    "his her hers him this that these those there here what which who whom whose when where why how many much some any each every all both most more less few other another such one two three while although because however also only "
+    "once just now let suppose given find calculate compute determine solve show prove write choose select explain describe"
+)
 # fixed values: words that are units after a number
 UNITS = "km|m|cm|mm|mi|miles?|feet|foot|ft|inch|inches|kg|g|mg|lb|lbs|pounds?|l|ml|litres?|liters?|gallons?|s|sec|seconds?|min|minutes?|h|hr|hours?|days?|weeks?|months?|years?|percent|dollars?|euros?|cents?|usd|eur|mph|kmh|c|f"
 
 
 def canonical(text: Column) -> tuple[Column, Column]:
-    """The words of a text as written, and as template words: two arrays of one length."""
-    spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(text, "\\s{2,}|[^\\S ]", " ")), F.lit(" "))
+    """The words of a text as written, and as template words: two arrays of one length.
+
+    Capitalised words at sentence starts are lower-case words after a mark: ``plain_word`` and ``as_name`` read them.
+    """
+    spaced = spaced_words(text)
     names = F.regexp_replace(spaced, "\\p{Lu}(?<=[^.!?:\\s] \\p{Lu})\\p{Ll}+(?:[-'’]\\p{L}+)*", "\x01")
+    names = F.regexp_replace(names, "\\p{Lu}(?<=(?:^|[.!?:]) \\p{Lu})\\p{Ll}+(?:[-'’]\\p{L}+)*", f"{START}$0")
     numbers = F.when(text.rlike("[0-9]"), F.regexp_replace(F.regexp_replace(names, "(?<= )[^\\s\\p{L}\x01]{0,3}[0-9]\\S*(?= )", "\x02"), f"(?i)(?<=\x02 )(?:{UNITS})(?=[ .,;:!?])", "\x03")).otherwise(names)
-    plain = F.regexp_replace(F.lower(numbers), "[^\\p{L}\\p{N}\x01\x02\x03 ]+", "")
-    inner = lambda c: F.split(F.substring(c, 2, F.length(c) - 2), " ", -1)
-    return inner(spaced), inner(plain)
+    plain = F.regexp_replace(F.lower(numbers), f"[^\\p{{L}}\\p{{N}}\x01\x02\x03{START} ]+", "")
+    return _split(spaced), _split(plain)
+
+
+def spaced_words(text: Column) -> Column:
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(text, "\\s{2,}|[^\\S ]", " ")), F.lit(" "))
+
+
+def _split(spaced: Column) -> Column:
+    return F.split(F.substring(spaced, 2, F.length(spaced) - 2), " ", -1)
 
 
 def _is_slot(word: Column) -> Column:
     return word.isin("\x01", "\x02", "\x03")
 
 
+def plain_word(word: Column) -> Column:
+    """A template word, a sentence start being the word itself."""
+    return F.when(word.startswith(START), F.substring(word, 2, F.length(word))).otherwise(word)
+
+
+def as_name(word: Column) -> Column:
+    """A template word, a sentence start being a name unless it is a function word."""
+    return F.when(word.startswith(START) & ~word.isin([START + w for w in FUNCTION_WORDS.split()]), F.lit("\x01")).otherwise(plain_word(word))
+
+
 def once(value: Column, use) -> Column:
     """``use(value)`` with the value computed once for the row, however often it is used."""
     return F.transform(F.array(value), use)[0]
 
 
-def templates(rows: DataFrame, width: int) -> DataFrame:
-    """``text`` becomes ``window_hashes``: of the windows by position, or of all words if these are fewer."""
+def windows(words: Column, width: int, least_words: int = 0) -> Column:
+    """at, window (a hash) of the template's windows, sentence starts being words, and those with them as names where that differs.
 
-    def windows(hashes: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size(hashes) - F.lit(width), F.lit(0)))
-        return F.transform(starts, lambda i: F.xxhash64(*[F.get(hashes, i + F.lit(k)) for k in range(width)]))
+    Only windows with at least ``least_words`` words that are no placeholders, which is not looked at for 0.
+    """
+
+    def made(form) -> Column:
+        def at_each(hashes: Column) -> Column:
+            starts = F.sequence(F.lit(0), F.size(hashes) - F.lit(width))
+            return F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(*[F.get(hashes, i + F.lit(k)) for k in range(width)]).alias("window")))
 
-    def found(words: Column) -> Column:
-        hashes = F.transform(words, lambda w: F.xxhash64(w))
-        literals = F.transform(words, lambda w: F.when(_is_slot(w) | (w == ""), 0).otherwise(1))
-        return F.struct(once(hashes, windows).alias("window_hashes"), literals.alias("literals"))
+        found = once(F.transform(words, lambda w: F.xxhash64(form(w))), at_each)
+        if not least_words:
+            return found
+        literals = F.transform(words, lambda w: F.when(_is_slot(form(w)) | (w == ""), 0).otherwise(1))
+        return once(literals, lambda n: F.filter(found, lambda x: F.aggregate(F.slice(n, x["at"] + 1, width), F.lit(0), lambda a, b: a + b) >= least_words))
 
-    _, words = canonical(F.col("text"))
-    rows = rows.select(*[c for c in rows.columns if c != "text"], F.inline(F.transform(F.array(words), found)))
-    return rows
+    none = F.array().cast("array<struct<at:int,window:bigint>>")
+    if least_words:
+        both = F.array_union(made(plain_word), made(as_name))
+    else:
+        both = once(made(plain_word), lambda a: once(made(as_name), lambda b: F.concat(a, F.filter(b, lambda x: x["window"] != F.get(a, x["at"])["window"]))))
+    return F.when(F.size(words) >= width, both).otherwise(none)
 
 
 def benchmark_windows(benchmark: DataFrame, item_id: str, text: str, width: int, least_words: int) -> DataFrame:
-    """window, item_id, item_key, item_at for windows with enough words."""
+    """window, item_id, item_key, item_at, width for windows with enough words."""
     items = benchmark.select(F.col(item_id).alias("item_id"), row_key(F.col(item_id), F.col(text)).alias("item_key"), whole_text(text).alias("text")).dropDuplicates(["item_key"])
-    found = templates(items, width).select("item_id", "item_key", "literals", F.posexplode("window_hashes").alias("item_at", "window"))
-    enough = F.aggregate(F.slice("literals", F.col("item_at") + 1, width), F.lit(0), lambda a, x: a + x) >= least_words
-    return found.where(enough).select("window", "item_id", "item_key", "item_at")
+    items = items.select("item_id", "item_key", canonical(F.col("text"))[1].alias("words"))
+    found = items.select("item_id", "item_key", F.lit(width).alias("width"), F.inline(windows(F.col("words"), width, least_words)))
+    return found.select("window", "item_id", "item_key", F.col("at").alias("item_at"), "width")
 
 
 def leaks(
@@ -89,12 +128,9 @@ def leaks(
     if known.count() <= BROADCAST_WINDOWS:
         distinct = F.broadcast(distinct)
     rows = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row_key"), whole_text(text).alias("text")).where("text <> ''")
-    hits = (
-        templates(rows, width)
-        .select("row_key", F.posexplode("window_hashes").alias("doc_at", "window"))
-        .join(distinct, "window", "left_semi")
-        .distinct()
-    )
+    words = rows.select("row_key", canonical(F.col("text"))[1].alias("words"))
+    found = words.select("row_key", F.inline(once(F.col("words"), lambda w: windows(w, width)))).withColumnRenamed("at", "doc_at")
+    hits = found.join(distinct, "window", "left_semi").distinct()
     hits = written(hits)
     pairs = hits.join(known, "window").groupBy("row_key", "item_key", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).agg(F.first("item_id").alias("item_id"), F.collect_set(F.struct("doc_at", "item_at")).alias("at"))
     raw, plain = canonical(F.col("text"))
@@ -105,7 +141,7 @@ def leaks(
 
     def slots(at: Column) -> Column:
         places = F.sequence(F.lit(0), F.lit(width - 1))
-        both = F.transform(places, lambda k: F.struct(F.get("doc_plain", at["doc_at"] + k).alias("kind"), _value(F.get("item_raw", at["item_at"] + k)).alias("item"), _value(F.get("doc_raw", at["doc_at"] + k)).alias("doc")))
+        both = F.transform(places, lambda k: F.struct(as_name(F.get("doc_plain", at["doc_at"] + k)).alias("kind"), _value(F.get("item_raw", at["item_at"] + k)).alias("item"), _value(F.get("doc_raw", at["doc_at"] + k)).alias("doc")))
         return F.filter(both, lambda s: _is_slot(s["kind"]))
 
     checked = (
@@ -116,7 +152,7 @@ def leaks(
         .where(F.size("slots") == F.size("values"))
         .withColumn("verbatim", F.forall("slots", lambda s: s["item"] == s["doc"]))
     )
-    sizes = known.groupBy("item_key").agg(F.count("*").alias("n_item_windows"))
+    sizes = known.groupBy("item_key").agg(F.count_distinct("item_at").alias("n_item_windows"))
     return (
         checked.groupBy("row", "row_key", "doc_id", "item_key")
         .agg(F.first("item_id").alias("item_id"), F.max(F.size("at")).cast("long").alias("n_windows"), F.max("verbatim").alias("verbatim"))

@@ -124,6 +124,16 @@ def test_decontamination_checks_slots(spark):
     assert {r["doc_id"] for r in decontamination.decontaminate(rows, bench).collect()} == {2, 3, 4}
 
 
+def test_decontamination_finds_names_at_sentence_starts(spark):
+    item = "Anna has 3 red apples. Bert gives Anna 2 more apples. Anna eats one apple. How many are left?"
+    same = item.replace("Anna", "Carla").replace("Bert", "Dirk").replace("3", "7").replace("2", "5")
+    mixed = item.replace("gives Anna", "gives Carla")
+    bench = spark.createDataFrame([(5, item), (6, "Green frogs like to sleep in cold water at night.")], "item_id long, text string")
+    rows = docs(spark, f"Well. {same}", mixed, f"So {item} End.", "They say green frogs like to sleep in cold water at night.", "Blue toads like to sit on wet stones at noon.")
+    found = {(r["doc_id"], r["item_id"], r["verbatim"]) for r in decontamination.leaks(rows, bench).collect()}
+    assert found == {(0, 5, False), (2, 5, True), (3, 6, True)}
+
+
 def test_compression_scores(spark, data):
     table = spark.read.parquet(f"{data}/documents.parquet")
     found = compression.score(table).toPandas().set_index("doc_id")
