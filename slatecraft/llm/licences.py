@@ -1,6 +1,7 @@
 """Licence scan by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences, once at line ends and once with lines joined. Normalised sentences are
+A text is cut into sentences, with their lines joined; a sentence that is not known is cut into paragraphs, and one
+of these that is not known into lines. Comment marks do not count. Normalised sentences are
 looked up among known licence sentences; a version in a sentence travels with its identifier. The
 identifiers, in order, form a sequence, and ordered rules turn stretches of it into licences: a stretch
 that a rule takes is gone for the rules after it. What no rule takes is reported as left over.
@@ -28,12 +29,31 @@ SENTENCES = {
     "licensed under the apache license version #": "apache_name",
     "released under the apache license version #": "apache_name",
     "spdx-license-identifier apache-#": "apache_name",
+    "licensed under the apache license version # the license": "apache_name",
     "you may not use this file except in compliance with the license": "apache_comply",
     "you may obtain a copy of the license at": "apache_copy",
     "this work is licensed under the gnu general public license version #": "gpl_name",
     "licensed under the gnu general public license version #": "gpl_name",
     "released under the gnu general public license version #": "gpl_name",
     "this program is free software you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation either version # of the license or at your option any later version": "gpl_later",
+    "you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation either version # of the license or at your option any later version": "gpl_later",
+    "you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl_terms",
+    "either version # of the license or at your option any later version": "later_version",
+    "this program is distributed in the hope that it will be useful but without any warranty": "gpl_warranty",
+    "without even the implied warranty of merchantability or fitness for a particular purpose": "gpl_warranty",
+    "spdx-license-identifier gpl-#": "gpl_name",
+    "spdx-license-identifier gpl-#-only": "gpl_name",
+    "spdx-license-identifier gpl-#+": "gpl_later",
+    "spdx-license-identifier gpl-#-or-later": "gpl_later",
+    "spdx-license-identifier lgpl-#": "lgpl_name",
+    "spdx-license-identifier lgpl-#-only": "lgpl_name",
+    "spdx-license-identifier lgpl-#+": "lgpl_later",
+    "spdx-license-identifier lgpl-#-or-later": "lgpl_later",
+    "spdx-license-identifier agpl-#": "agpl_name",
+    "spdx-license-identifier agpl-#-only": "agpl_name",
+    "spdx-license-identifier agpl-#-or-later": "agpl_later",
+    "spdx-license-identifier mpl-#": "mpl_name",
+    "spdx-license-identifier bsd-#-clause": "bsd_clause",
     "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose": "gpl_warranty",
     "licensed under the gnu lesser general public license version #": "lgpl_name",
     "licensed under the gnu affero general public license version #": "agpl_name",
@@ -59,8 +79,11 @@ RULES = [
     ("MIT", "mit_name@ "),
     ("MIT", "mit_grant@ "),
     ("Apache-{v}", "apache_name@(\\S*) (?:apache_comply@ )?(?:apache_copy@ )?"),
-    ("GPL-{v}-or-later", "gpl_later@(\\S*) (?:gpl_warranty@ )?"),
-    ("GPL-{v}", "gpl_name@(\\S*) (?:gpl_warranty@ )?"),
+    ("GPL-{v}-or-later", "gpl_later@(\\S*) (?:gpl_warranty@ )*"),
+    ("GPL-{v}-or-later", "gpl_terms@ later_version@(\\S*) (?:gpl_warranty@ )*"),
+    ("LGPL-{v}-or-later", "lgpl_later@(\\S*) "),
+    ("AGPL-{v}-or-later", "agpl_later@(\\S*) "),
+    ("GPL-{v}", "gpl_name@(\\S*) (?:gpl_warranty@ )*"),
     ("AGPL-{v}", "agpl_name@(\\S*) "),
     ("LGPL-{v}", "lgpl_name@(\\S*) "),
     ("MPL-{v}", "mpl_name@(\\S*) "),
@@ -72,28 +95,39 @@ RULES = [
     ("CC-BY-{v}", "cc_by@(\\S*) "),
     ("BSD", "bsd_grant@ bsd_source@ bsd_binary@ "),
     ("BSD", "bsd_name@ "),
+    ("BSD-{v}-Clause", "bsd_clause@(\\S*) "),
 ]
 VERSION = "[0-9]+(?:[.][0-9]+)*"
-LINE_ENDS = "[\\r\\n]+|[.;:!?] "
-JOINED_ENDS = "[.;:!?] "
+#: Not the colon of a tag, nor the dot of "v. 2.0".
+SENTENCE_ENDS = "(?i)(?:[;!?]|(?<!\\bv)[.]|(?<!spdx-license-identifier):)\\s"
+#: Lines that are empty or hold a comment mark alone, and lines that name who holds the copyright.
+PARAGRAPH_ENDS = "(?i)(?:\\n|\\r\\n?)[^\\p{L}\\p{N}\\r\\n]*(?:copyright (?:[(]c[)]|\u00a9|[0-9])[^\\r\\n]*)?[\\r\\n]"
+LINE_ENDS = "[\\r\\n]+"
 
 
 def normalised(sentence: Column) -> Column:
-    """Lower case; only letters, digits and inner marks; single spaces; a version becomes #."""
-    plain = F.regexp_replace(F.lower(sentence), "[^a-z0-9./-]+", " ")
+    """Lower case; only letters, digits and inner marks, no comment marks; single spaces; a version becomes #."""
+    plain = F.regexp_replace(F.lower(sentence), "[^a-z0-9./+-]+", " ")
+    plain = F.regexp_replace(plain, "(?<![^ ])[/+-]+ *|[/-]+(?= |$)", "")
     return F.regexp_replace(F.regexp_replace(plain, VERSION, "#"), "^[ .]+|[ .]+$", "")
 
 
-def identifiers(text: Column, ends: str) -> Column:
+def identifiers(text: Column) -> Column:
     """``id@version`` of the known sentences of a text, in order."""
     table = F.create_map(*[F.lit(x) for pair in SENTENCES.items() for x in pair])
-    likely = F.filter(F.split(text, ends, -1), lambda s: s.rlike(HINTS))
 
-    def one(sentence: Column) -> Column:
-        found = F.try_element_at(table, normalised(sentence))
-        return F.concat(found, F.lit("@"), F.regexp_extract(sentence, VERSION, 0))
+    def known(part: Column, ends: list[str]) -> Column:
+        name = F.try_element_at(table, normalised(part))
+        found = F.array(F.concat(name, F.lit("@"), F.regexp_extract(part, VERSION, 0)))
+        if not ends:
+            return F.when(name.isNotNull(), found).otherwise(F.array().cast("array<string>"))
+        return F.when(name.isNotNull(), found).otherwise(parts(part, ends))
 
-    return F.filter(F.transform(likely, one), lambda x: x.isNotNull())
+    def parts(whole: Column, ends: list[str]) -> Column:
+        likely = F.filter(F.split(whole, ends[0], -1), lambda s: s.rlike(HINTS))
+        return F.flatten(F.transform(likely, lambda s: known(s, ends[1:])))
+
+    return parts(text, [SENTENCE_ENDS, PARAGRAPH_ENDS, LINE_ENDS])
 
 
 def recognise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -101,14 +135,7 @@ def recognise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"))
     hinted = F.col("text").rlike(HINTS)
     none = F.array().cast("array<string>")
-    joined = F.regexp_replace("text", "[\\r\\n]+", " ")
-    rows = rows.select(
-        "doc_id",
-        F.when(hinted, identifiers(F.col("text"), LINE_ENDS)).otherwise(none).alias("by_line"),
-        F.when(hinted, identifiers(joined, JOINED_ENDS)).otherwise(none).alias("by_sentence"),
-    )
-    # sentences over several lines are known only with the lines joined, headings only by line
-    rows = rows.select("doc_id", F.when(F.size("by_sentence") > F.size("by_line"), F.col("by_sentence")).otherwise(F.col("by_line")).alias("ids"))
+    rows = rows.select("doc_id", F.when(hinted, identifiers(F.col("text"))).otherwise(none).alias("ids"))
 
     def apply(sequence: Column, rule: int) -> tuple[Column, Column]:
         name, pattern = RULES[rule]

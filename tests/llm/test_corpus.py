@@ -134,6 +134,35 @@ def test_decontamination_finds_names_at_sentence_starts(spark):
     assert found == {(0, 5, False), (2, 5, True), (3, 6, True)}
 
 
+def test_licences_of_verbatim_headers(spark):
+    apache = """// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.
+// You may obtain a copy of the License at
+//
+//     http://www.apache.org/licenses/LICENSE-2.0
+"""
+    mit = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+    gpl = """ * This program is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation; either version 2 of the License, or
+ * (at your option) any later version.
+"""
+    texts = ["/* SPDX-License-Identifier: MIT */\nint x;", "# SPDX-License-Identifier: Apache-2.0", "// SPDX-License-Identifier: GPL-2.0+", apache, mit, gpl, f"Released under the MIT License\n\n{gpl}"]
+    found = {r["doc_id"]: (r["licences"], r["left_over"]) for r in licences.recognise(docs(spark, *texts)).collect()}
+    names = [["MIT"], ["Apache-2.0"], ["GPL-2.0-or-later"], ["Apache-2.0"], ["MIT"], ["GPL-2-or-later"], ["MIT", "GPL-2-or-later"]]
+    assert found == {i: (x, "") for i, x in enumerate(names)}
+
+
 def test_compression_scores(spark, data):
     table = spark.read.parquet(f"{data}/documents.parquet")
     found = compression.score(table).toPandas().set_index("doc_id")
