@@ -163,6 +163,13 @@ furnished to do so, subject to the following conditions:
     assert found == {i: (x, "") for i, x in enumerate(names)}
 
 
+def test_quality_sample_passes_over_a_long_text(spark):
+    ids = [r[0] for r in spark.range(60).where("pmod(xxhash64(id, 3), 2) = 0").orderBy(F.xxhash64("id"), "id").collect()]
+    table = docs(spark, *[("word " * 900_000 if i == ids[0] else f"Text number {i}.") for i in range(60)])
+    sample = quality.sample_of(table, spark.range(60).withColumnRenamed("id", "trusted_id"), "doc_id", "text")
+    assert sorted(r["trusted_id"] for r in sample.collect()) == sorted(ids[1:])
+
+
 def test_compression_scores(spark, data):
     table = spark.read.parquet(f"{data}/documents.parquet")
     found = compression.score(table).toPandas().set_index("doc_id")
