@@ -4,7 +4,8 @@ Markup is stripped into lines, one for each block. Lines that are menus, headers
 notices, adverts, forms, scripts, styles or comments by their element or class count as empty, so they leave
 gaps. Text lengths are summed over sliding windows of lines: where a sum rises from nothing the text surges, where
 windows stay empty it dives, and what lies between is kept. On pages with an ``article`` or ``main`` only
-its lines count; on others, stretches whose largest sum is far below that of the page are dropped.
+its lines count; on others, stretches that are lists of links are dropped: at least ``LINKS`` links with
+more than half of the characters.
 
 Null or empty pages give an empty text. Whole pages are read; nothing is capped. Rows are independent:
 repeated rows give repeated results, no rows give none, and other columns stay unread.
@@ -29,18 +30,22 @@ NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+
 SPACE = re.compile(r"\s+")
 WORD = re.compile(r"[a-z0-9]+")
 WINDOW = 3
-#: Without an article: a stretch counts if its largest window sum is this share of the page's.
-SHARE = 0.2
+#: Without an article: a stretch of so many links may be a list of links.
+LINKS = 3
 
 
-def lines(page: str) -> tuple[list[str], list[bool], bool]:
-    """Text by block, whether it lies in an article, and whether there is one. Lines of other parts are empty."""
+def lines(page: str) -> tuple[list[str], list[bool], bool, dict[int, list[str]]]:
+    """Text by block, whether it lies in an article, whether there is one, and by block the texts of its links. Lines of other parts are empty."""
     out: list[str] = [""]
     inside: list[bool] = [False]
+    links: dict[int, list[str]] = {}
+    linked = False
     skip, depth, article, had, last = "", 0, 0, False, 0
     for m in TOKEN.finditer(page):
         if not skip:
             out[-1] += page[last : m.start()]
+            if linked and not page[last : m.start()].isspace():
+                links.setdefault(len(out) - 1, [""])[-1] += page[last : m.start()]
         last = m.end()
         name = (m[3] or "").lower()
         if m[1]:
@@ -66,6 +71,10 @@ def lines(page: str) -> tuple[list[str], list[bool], bool]:
             if skip or name not in ("article", "main"):
                 continue
         if name in INLINE:
+            if name == "a":
+                linked = not close and "href" in m[4].lower()
+                if linked:
+                    links.setdefault(len(out) - 1, []).append("")
             if name == "br":
                 out[-1] += " "
             if close or name in EMPTY or not m[4] or not _boilerplate(m[4]):
@@ -74,13 +83,14 @@ def lines(page: str) -> tuple[list[str], list[bool], bool]:
             had |= not close
             article = max(0, article + (-1 if close else 1))
         elif not close and name not in EMPTY and name not in ("html", "body") and (name in ASIDE or name == "header" and not article or m[4] and _boilerplate(m[4])):
-            skip, depth = name, 1
+            skip, depth, linked = name, 1, False
             continue
+        linked = False  # an end may be missing
         out.append("")
         inside.append(article > 0)
     if not skip:
         out[-1] += page[last:]
-    return [SPACE.sub(" ", entities.unescape(x)).strip() if x and not x.isspace() else "" for x in out], inside, had
+    return [SPACE.sub(" ", entities.unescape(x)).strip() if x and not x.isspace() else "" for x in out], inside, had, links
 
 
 def _boilerplate(attributes: str) -> bool:
@@ -90,12 +100,10 @@ def _boilerplate(attributes: str) -> bool:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    text, inside, had = lines(page)
+    text, inside, had, links = lines(page)
     if had and any(t for t, a in zip(text, inside) if a):
         text = [t if a else "" for t, a in zip(text, inside)]
-        share = 0.0
-    else:
-        share = SHARE
+        links = {}
     sizes = [len(t) for t in text]
     sums = [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
     stretches, surge = [], None
@@ -103,10 +111,15 @@ def main_text(page: str | None) -> str:
         if total and surge is None:
             surge = i
         elif not total and surge is not None:
-            stretches.append((surge, i, max(sums[surge:i])))
+            stretches.append((surge, i))
             surge = None
-    top = max((s[2] for s in stretches), default=0)
-    return "\n\n".join(t for a, b, most in stretches if most >= share * top for t in text[a:b] if t)
+    return "\n\n".join(t for a, b in stretches if not _listed(sizes, links, a, b) for t in text[a:b] if t)
+
+
+def _listed(sizes: list[int], links: dict[int, list[str]], a: int, b: int) -> bool:
+    """Whether lines a to b are a list of links."""
+    found = [len(SPACE.sub(" ", entities.unescape(x)).strip()) for i in range(a, b) if sizes[i] for x in links.get(i, ())]
+    return sum(n > 0 for n in found) >= LINKS and 2 * sum(found) > sum(sizes[a:b])
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:

@@ -170,6 +170,12 @@ def test_quality_sample_passes_over_a_long_text(spark):
     assert sorted(r["trusted_id"] for r in sample.collect()) == sorted(ids[1:])
 
 
+def test_extraction_keeps_short_stretches_without_an_article():
+    long = "Words of a long paragraph. " * 20
+    page = f"<body><div><a href=a>Home</a> <a href=b>News</a> <a href=c>About</a></div><br><div></div><div></div><div></div><h2><a href=x>One</a></h2>{f'<p>{long}</p>' * 3}<div class=ad>no</div><p>He left.</p></body>"
+    assert extraction.main_text(page) == "\n\n".join(["One", *[long.strip()] * 3, "He left."])
+
+
 def test_compression_scores(spark, data):
     table = spark.read.parquet(f"{data}/documents.parquet")
     found = compression.score(table).toPandas().set_index("doc_id")
