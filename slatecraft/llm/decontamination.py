@@ -7,8 +7,10 @@ join. Hits on one diagonal (document position less item position) are then check
 consistency: a slot value of the item must stand for one value in the document throughout. So a
 question copied with other names and numbers is caught, and a chance template is not.
 
-A window needs ``least_words`` words that are no placeholders. Items shorter than a window are compared
-as a whole if they have that many words, else not at all. Null or empty texts match nothing. Repeated
+A window needs ``least_words`` words that are no placeholders. Items shorter than a window have one window of their
+own length, which is looked for in documents too. Items without any such window are found where all their words
+stand, numbers and names as they are; those of fewer than ``least_words`` words only where they are the whole document.
+Null or empty texts match nothing. Repeated
 rows get the same verdict each. Empty tables give no leaks. Only id and text are read of either table.
 """
 
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 
 from slatecraft.llm.frames import row_key, unused, whole_text, written
 
+WINDOWS = "array<struct<at:int,window:bigint>>"
 #: Stands before a capitalised word at a sentence start.
 START = "\x04"
 WIDTH = 8
@@ -93,7 +96,7 @@ def windows(words: Column, width: int, least_words: int = 0) -> Column:
         literals = F.transform(words, lambda w: F.when(_is_slot(form(w)) | (w == ""), 0).otherwise(1))
         return once(literals, lambda n: F.filter(found, lambda x: F.aggregate(F.slice(n, x["at"] + 1, width), F.lit(0), lambda a, b: a + b) >= least_words))
 
-    none = F.array().cast("array<struct<at:int,window:bigint>>")
+    none = F.array().cast(WINDOWS)
     if least_words:
         both = F.array_union(made(plain_word), made(as_name))
     else:
@@ -102,11 +105,36 @@ def windows(words: Column, width: int, least_words: int = 0) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, item_id: str, text: str, width: int, least_words: int) -> DataFrame:
-    """window, item_id, item_key, item_at, width for windows with enough words."""
+    """window, item_id, item_key, item_at, width, exact: windows with enough words, or else those of the words as they are."""
     items = benchmark.select(F.col(item_id).alias("item_id"), row_key(F.col(item_id), F.col(text)).alias("item_key"), whole_text(text).alias("text")).dropDuplicates(["item_key"])
-    items = items.select("item_id", "item_key", canonical(F.col("text"))[1].alias("words"))
-    found = items.select("item_id", "item_key", F.lit(width).alias("width"), F.inline(windows(F.col("words"), width, least_words)))
-    return found.select("window", "item_id", "item_key", F.col("at").alias("item_at"), "width")
+    items = written(items.select("item_id", "item_key", canonical(F.col("text"))[1].alias("words"), exact_words(F.col("text")).alias("exact_words")))
+    size = F.size("words")
+    long = F.when(size >= width, windows(F.col("words"), width, least_words))
+    for n in range(least_words, width):
+        long = long.when(size == n, windows(F.col("words"), n, least_words))
+    items = items.withColumn("made", F.coalesce(long, F.array().cast(WINDOWS))).withColumn("exact", F.size("made") == 0)
+    plain = F.when(size >= width, exact_windows(F.col("exact_words"), width))
+    for n in range(least_words, width):
+        plain = plain.when(size == n, exact_windows(F.col("exact_words"), n))
+    plain = plain.otherwise(whole_window(F.col("exact_words")))
+    made = F.when(F.col("exact") & (F.array_join("exact_words", "") != ""), plain).otherwise(F.col("made"))
+    found = items.select("item_id", "item_key", "exact", F.least(size, F.lit(width)).alias("width"), F.inline(made))
+    return found.select("window", "item_id", "item_key", F.col("at").alias("item_at"), "width", "exact")
+
+
+def exact_words(text: Column) -> Column:
+    """The words in lower case and without punctuation, as many as template words."""
+    return _split(F.regexp_replace(F.lower(spaced_words(text)), "[^\\p{L}\\p{N} ]+", ""))
+
+
+def exact_windows(words: Column, width: int) -> Column:
+    """at, window of the words as they are."""
+    made = once(words, lambda w: F.transform(F.sequence(F.lit(0), F.size(w) - F.lit(width)), lambda i: F.struct(i.alias("at"), F.xxhash64(F.lit("exact"), F.array_join(F.slice(w, i + 1, width), " ")).alias("window"))))
+    return F.when(F.size(words) >= width, made).otherwise(F.array().cast(WINDOWS))
+
+
+def whole_window(words: Column) -> Column:
+    return F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(F.lit("whole"), F.array_join(words, " ")).alias("window"))).cast(WINDOWS)
 
 
 def leaks(
@@ -128,11 +156,17 @@ def leaks(
     if known.count() <= BROADCAST_WINDOWS:
         distinct = F.broadcast(distinct)
     rows = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row_key"), whole_text(text).alias("text")).where("text <> ''")
-    words = rows.select("row_key", canonical(F.col("text"))[1].alias("words"))
-    found = words.select("row_key", F.inline(once(F.col("words"), lambda w: windows(w, width)))).withColumnRenamed("at", "doc_at")
+    kinds = [(r["width"], r["exact"]) for r in known.select("width", "exact").distinct().collect()]  # two for each width at most
+    words = rows.select("row_key", canonical(F.col("text"))[1].alias("words"), (exact_words(F.col("text")) if any(e for _, e in kinds) else F.lit(None).cast("array<string>")).alias("exact_words"))
+    made = [lambda w, e, n=n: windows(w, n) for n in sorted({n for n, e in kinds if not e})]
+    made += [lambda w, e, n=n: exact_windows(e, n) for n in sorted({n for n, e in kinds if e and n >= least_words})]
+    if any(e and n < least_words for n, e in kinds):
+        made.append(lambda w, e: F.when(F.size(e) < least_words, whole_window(e)).otherwise(F.array().cast(WINDOWS)))
+    every = once(F.struct("words", "exact_words"), lambda r: F.concat(F.array().cast(WINDOWS), *[m(r["words"], r["exact_words"]) for m in made]))
+    found = words.select("row_key", F.inline(every)).withColumnRenamed("at", "doc_at")
     hits = found.join(distinct, "window", "left_semi").distinct()
     hits = written(hits)
-    pairs = hits.join(known, "window").groupBy("row_key", "item_key", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).agg(F.first("item_id").alias("item_id"), F.collect_set(F.struct("doc_at", "item_at")).alias("at"))
+    pairs = hits.join(known, "window").groupBy("row_key", "item_key", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).agg(F.first("item_id").alias("item_id"), F.first("width").alias("width"), F.first("exact").alias("exact"), F.collect_set(F.struct("doc_at", "item_at")).alias("at"))
     raw, plain = canonical(F.col("text"))
     hit_docs = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row_key"), F.col(doc_id).alias("doc_id"), whole_text(text).alias("text")).join(hits.select("row_key").distinct(), "row_key", "left_semi")
     hit_docs = hit_docs.select("row_key", "doc_id", F.monotonically_increasing_id().alias("row"), raw.alias("doc_raw"), plain.alias("doc_plain"))
@@ -140,7 +174,7 @@ def leaks(
     items = items.select("item_key", canonical(F.col("text"))[0].alias("item_raw"))
 
     def slots(at: Column) -> Column:
-        places = F.sequence(F.lit(0), F.lit(width - 1))
+        places = F.sequence(F.lit(0), F.col("width") - 1)
         both = F.transform(places, lambda k: F.struct(as_name(F.get("doc_plain", at["doc_at"] + k)).alias("kind"), _value(F.get("item_raw", at["item_at"] + k)).alias("item"), _value(F.get("doc_raw", at["doc_at"] + k)).alias("doc")))
         return F.filter(both, lambda s: _is_slot(s["kind"]))
 
@@ -149,14 +183,15 @@ def leaks(
         .join(hit_docs, "row_key")
         .withColumn("slots", F.array_distinct(F.flatten(F.transform("at", slots))))
         .withColumn("values", F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["item"]))))
-        .where(F.size("slots") == F.size("values"))
-        .withColumn("verbatim", F.forall("slots", lambda s: s["item"] == s["doc"]))
+        .where(F.col("exact") | (F.size("slots") == F.size("values")))
+        .withColumn("verbatim", F.col("exact") | F.forall("slots", lambda s: s["item"] == s["doc"]))
     )
     sizes = known.groupBy("item_key").agg(F.count_distinct("item_at").alias("n_item_windows"))
     return (
         checked.groupBy("row", "row_key", "doc_id", "item_key")
-        .agg(F.first("item_id").alias("item_id"), F.max(F.size("at")).cast("long").alias("n_windows"), F.max("verbatim").alias("verbatim"))
+        .agg(F.first("item_id").alias("item_id"), F.max(F.size("at")).cast("long").alias("n_windows"), F.max("verbatim").alias("verbatim"), F.first("exact").alias("exact"))
         .join(sizes, "item_key")
+        .where(~F.col("exact") | (F.col("n_windows") == F.col("n_item_windows")))
         .select("row_key", "doc_id", "item_id", "n_windows", "n_item_windows", "verbatim")
     )
 

@@ -176,6 +176,15 @@ def test_extraction_keeps_short_stretches_without_an_article():
     assert extraction.main_text(page) == "\n\n".join(["One", *[long.strip()] * 3, "He left."])
 
 
+def test_decontamination_finds_short_items_inside_documents(spark):
+    items = ["What is the largest even prime?", "What is 7 times 8?", "What is 2+2?", "Ada 1 Bo 2 Cy 3 Di 4 Ed 5 Flo 6", None, "?"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"Here we ask a thing. {t} And so on it goes for long." for t in items[:4]]
+    texts += ["what is 2+2", "Well now. What is 9 times 8? And so on it goes.", "Ada 1 Bo 2 Cy 3 Di 4 Ed 5 Gus 6", "", "!", None]
+    found = {(r["doc_id"], r["item_id"], r["verbatim"]) for r in decontamination.leaks(docs(spark, *texts), bench).collect()}
+    assert found == {(0, 0, True), (1, 1, True), (3, 3, True), (4, 2, True)}
+
+
 def test_compression_scores(spark, data):
     table = spark.read.parquet(f"{data}/documents.parquet")
     found = compression.score(table).toPandas().set_index("doc_id")
