@@ -185,6 +185,17 @@ def test_decontamination_finds_short_items_inside_documents(spark):
     assert found == {(0, 0, True), (1, 1, True), (3, 3, True), (4, 2, True)}
 
 
+def test_quality_threshold_of_a_rare_language(spark):
+    rows = [(i, f"The cat number {i} sat on the mat and looked at the {'dog bird fish cow'.split()[i % 4]} for a while.", "en") for i in range(400)]
+    rare = next(i for i in range(1000, 2000) if spark.range(i, i + 1).where("pmod(xxhash64(id, 3), 2) = 1").count())
+    rows += [(rare, "Le chat dort.", "fr"), (3000, "Le chat dort bien.", "fr"), (3001, "Le chien mange.", "fr"), (3002, "Un chat dort ici.", "fr")]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in [*range(400), rare]], "doc_id long, quality int, toxic int")
+    _, thresholds, _ = quality.classify(table, labels)
+    found = {r["lang"]: r for r in thresholds.collect()}
+    assert found["fr"]["threshold"] > found["fr"]["mean"] + 1e-6
+
+
 def test_compression_scores(spark, data):
     table = spark.read.parquet(f"{data}/documents.parquet")
     found = compression.score(table).toPandas().set_index("doc_id")
