@@ -274,7 +274,7 @@ def jn5(spark, sf_dir):
     "jn8_left_joins",
     f"""WITH {marts.MIN_POINTS_BASE_SQL}
 SELECT c.contest_id, min_points, max_points, top_5_percentile_points FROM contests c
-LEFT JOIN cashing k ON k.contest_id = c.contest_id LEFT JOIN tops t ON t.contest_id = c.contest_id""",
+LEFT JOIN measured m ON m.contest_id = c.contest_id""",
 )
 def jn8(spark, sf_dir):
     contests, lineups, _ = marts.min_points_inputs(spark, sf_dir)
