@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatecraft.llm import chat, compression, decontamination, extraction, jaccard, licences, packing, pivots, quality, secrets
+from slatecraft.llm import chat, compression, decontamination, extraction, jaccard, licences, packing, pivots, quality, secrets, urls
 from slatecraft.llm.frames import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -73,13 +73,22 @@ def op10_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.links(table(spark, sf_dir, "embeddings"))
 
 
+#: Fixed values of the url filter: host, start of the path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, urls.rules_frame(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_extraction, op4_secrets, op5_licences, op6_decontamination, op7_compression, op8_chat, op9_jaccard, op10_pivots, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_extraction, op4_secrets, op5_licences, op6_decontamination, op7_compression, op8_chat, op9_jaccard, op10_pivots, op11_urls, pipeline)}
 SQL: dict[str, str] = {}
 
 _SPANS = """
@@ -130,3 +139,15 @@ SELECT conv_id, count(*) AS n_turns,
   sum(length('<|im_start|>') + length(role_out) + 1 + length(text_out) + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+SQL["op11_urls"] = rf"""
+WITH rules(host, path, verdict) AS (VALUES {', '.join(repr(r) for r in URL_RULES)}),
+parts AS (
+  SELECT page_id, url, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
+fits AS (
+  SELECT p.host, p.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM parts) p JOIN rules r ON ('.' || p.host) LIKE ('%.' || r.host) AND starts_with(p.path, r.path)
+  GROUP BY 1, 2)
+SELECT page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path
+"""
