@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatecraft.llm import chat, compression, decontamination, extraction, jaccard, licences, packing, pivots, quality, secrets, urls
+from slatecraft.llm import chat, compression, decontamination, extraction, jaccard, licences, packing, phrases, pivots, quality, secrets, urls
 from slatecraft.llm.frames import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,13 +82,17 @@ def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, urls.rules_frame(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_extraction, op4_secrets, op5_licences, op6_decontamination, op7_compression, op8_chat, op9_jaccard, op10_pivots, op11_urls, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_extraction, op4_secrets, op5_licences, op6_decontamination, op7_compression, op8_chat, op9_jaccard, op10_pivots, op11_urls, op12_phrases, pipeline)}
 SQL: dict[str, str] = {}
 
 _SPANS = """
@@ -151,3 +155,23 @@ fits AS (
   GROUP BY 1, 2)
 SELECT page_id, p.host, p.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM parts p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path
 """
+
+SQL["op12_phrases"] = r"""
+WITH texts AS (SELECT row_number() OVER () AS row, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts),
+lists AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS words FROM pieces),
+runs AS (SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: array_to_string(words[i:i + size - 1], ' '))) AS phrase
+         FROM lists, (VALUES (1), (2), (3), (4)) sizes(size) WHERE len(words) >= size),
+counts AS (SELECT lang, phrase, any_value(size) AS size, count(*) AS a FROM runs GROUP BY lang, phrase HAVING count(*) >= 30),
+totals AS (SELECT lang, sum(len(words))::BIGINT AS n FROM lists GROUP BY lang),
+listed AS (SELECT *, string_split(phrase, ' ') AS words FROM counts WHERE size > 1),
+cuts AS (SELECT lang, phrase, a, size, k, array_to_string(words[1:k], ' ') AS before, array_to_string(words[k + 1:], ' ') AS after FROM listed, (VALUES (1), (2), (3)) ks(k) WHERE k < size),
+scored AS (SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r, (2000000::HUGEINT * c.a // (l.a::HUGEINT + r.a))::BIGINT AS score
+           FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.before JOIN counts r ON r.lang = c.lang AND r.phrase = c.after),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+parts AS (SELECT lang, a, array_to_string(words[s:s + n - 1], ' ') AS phrase FROM listed, (VALUES (1), (2), (3)) ss(s), (VALUES (2), (3)) ns(n) WHERE n < size AND s + n - 1 <= size),
+holders AS (SELECT lang, phrase, max(a) AS longer FROM parts GROUP BY 1, 2),
+kept AS (SELECT w.* FROM weakest w LEFT JOIN holders h ON h.lang = w.lang AND h.phrase = w.phrase WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * w.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
