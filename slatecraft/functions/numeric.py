@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A spread this small against the raw second moment is rounding noise of the sums.
-NOISE = 1e-12
-
 
 def round_to(value: Column, digits: int) -> Column:
     """Round the scaled binary value, so that 1.005 with two digits gives 1.0."""
@@ -24,19 +21,9 @@ def percent(part: Column, whole: Column) -> Column:
     return ratio(F.lit(100.0) * part, whole)
 
 
-def centred_sum(n: Column, total: Column, squares: Column) -> Column:
-    """Sum of squared deviations from plain sums; exactly zero for a constant."""
-    raw = squares - F.try_divide(total * total, n)
-    return F.when(raw <= squares * F.lit(NOISE), F.lit(0.0)).otherwise(raw)
-
-
-def correlation_from_sums(
-    n: Column, sum_x: Column, sum_y: Column, sum_xx: Column, sum_yy: Column, sum_xy: Column
-) -> Column:
-    """Pearson correlation; null where either side has no spread."""
-    n = n.cast("double")
-    spread = F.sqrt(centred_sum(n, sum_x, sum_xx)) * F.sqrt(centred_sum(n, sum_y, sum_yy))
-    return F.try_divide(sum_xy - F.try_divide(sum_x * sum_y, n), spread)
+def correlation_from_moments(m2_x: Column, m2_y: Column, products: Column) -> Column:
+    """Pearson correlation from sums of squared deviations and their products; null where either has no spread."""
+    return F.try_divide(products, F.sqrt(m2_x) * F.sqrt(m2_y))
 
 
 def correlation(x: Column, y: Column) -> Column:
@@ -47,7 +34,7 @@ def correlation(x: Column, y: Column) -> Column:
     )
 
 
-def deviation_from_sums(n: Column, total: Column, squares: Column) -> Column:
+def deviation_from_moment(n: Column, m2: Column) -> Column:
     """Sample standard deviation; null below two values."""
     n = n.cast("double")
-    return F.sqrt(F.try_divide(centred_sum(n, total, squares), F.when(n > 1, n - F.lit(1.0))))
+    return F.sqrt(F.try_divide(m2, F.when(n > 1, n - F.lit(1.0))))

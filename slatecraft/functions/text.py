@@ -72,5 +72,9 @@ def clean_name(name: Column) -> Column:
 
 
 def name_within(full: Column, part: Column) -> Column:
-    """``full LIKE '%' || part || '%'`` with ``part`` read as a pattern."""
-    return F.like(full, F.concat(F.lit("%"), part, F.lit("%")))
+    """``full LIKE '%' || part || '%'`` with ``part`` read as a pattern.
+
+    A part without pattern characters, as names are, is searched as plain bytes; no pattern is compiled for it.
+    """
+    is_pattern = F.contains(part, F.lit("%")) | F.contains(part, F.lit("_")) | F.contains(part, F.lit("\\"))
+    return F.when(is_pattern, F.like(full, F.concat(F.lit("%"), part, F.lit("%")))).otherwise(F.contains(full, part))

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from slatecraft.session import shared_folder
+
 
 def _block_count(df: DataFrame, blocks: int | None) -> int:
     """A few blocks per shuffle partition, unless a number is given."""
@@ -126,3 +128,23 @@ def ntile_summary(df: DataFrame, value: str, tiles: int, blocks: int | None = No
             ).alias("avg_value"),
         )
     )
+
+
+def add_row_number(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """The rows with their place in the whole order, from 1, as ``name``.
+
+    Rows are dealt to ranges of the order and written once; rows before a range are added from one count per
+    range. Sampling the borders reads ``df`` once more, so it should be a stored table. Rows that are equal in
+    all of ``order`` share a range and follow each other in any order.
+    """
+    taken = set(df.columns)
+    range_, n, ahead, place = (next(c for c in (k + "_" * i for i in range(len(taken) + 1)) if c not in taken) for k in ("_range", "_n", "_ahead", "_place"))
+    folder = shared_folder(df.sparkSession, "ordered")
+    df.repartitionByRange(*order).withColumn(range_, F.spark_partition_id()).write.parquet(folder)
+    stored = df.sparkSession.read.parquet(folder)
+    before = Window.partitionBy(F.lit(0)).orderBy(range_)  # a row per range
+    ranges = stored.groupBy(range_).agg(F.count(F.lit(1)).alias(n))
+    offsets = ranges.select(range_, (F.sum(n).over(before) - F.col(n)).alias(ahead))
+    inside = Window.partitionBy(range_).orderBy(*order)
+    numbered = stored.withColumn(place, F.row_number().over(inside).cast("long")).join(offsets, range_)
+    return numbered.select(*df.columns, (F.col(ahead) + F.col(place)).alias(name))

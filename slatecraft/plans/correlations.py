@@ -7,10 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slatecraft.functions.numeric import correlation_from_sums, deviation_from_sums
+from slatecraft.functions.numeric import correlation_from_moments, deviation_from_moment
 from slatecraft.functions.text import LINE_TEAM_CODES, clean_name, merge_wings, name_within, recode
 from slatecraft.operators.keyed import nulls_last, top1_per_key
-from slatecraft.operators.pairs import BITS, pair_sums
+from slatecraft.operators.pairs import BITS, pair_moments
 
 MORE_THAN = 50
 
@@ -28,14 +28,12 @@ def performances(players: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
 
 
 def _correlation():
-    return correlation_from_sums(
-        F.col("both"), F.col("sum_1"), F.col("sum_2"), F.col("squares_1"), F.col("squares_2"), F.col("products")
-    )
+    return correlation_from_moments(F.col("m2_1"), F.col("m2_2"), F.col("products"))
 
 
 def position_correlations(players: DataFrame, more_than: int = MORE_THAN, bits: int = BITS) -> DataFrame:
     """Correlation per ordered position pair and team relationship."""
-    sums = pair_sums(
+    sums = pair_moments(
         performances(players), "event_id", "player_id", "event_team_id", ["position"],
         F.col("actual_points"), bits, players,
     )
@@ -89,9 +87,9 @@ def line_correlations(
         F.to_date("game_date").alias("game_date"),
     )
     lined = with_lines(played, lines, team_codes).filter(F.col("line").isNotNull())
-    sums = pair_sums(
+    sums = pair_moments(
         lined, "event_id", "player_id", "event_team_id", ["position", "line"], F.col("actual_points"),
-        bits, players,
+        bits, players.withColumn("position", merge_wings(F.col("position"))),
     )
     return sums.filter(F.col("pairs") > more_than).select(
         "position_1",
@@ -101,10 +99,10 @@ def line_correlations(
         "line_2",
         _correlation().alias("correlation"),
         F.col("pairs").cast("long").alias("sample_size"),
-        (F.try_divide("all_1", "known_1") + F.col("origin")).alias("avg_points_1"),
-        (F.try_divide("all_2", "known_2") + F.col("origin")).alias("avg_points_2"),
-        deviation_from_sums(F.col("known_1"), F.col("all_1"), F.col("all_squares_1")).alias("stddev_points_1"),
-        deviation_from_sums(F.col("known_2"), F.col("all_2"), F.col("all_squares_2")).alias("stddev_points_2"),
+        F.col("all_mean_1").alias("avg_points_1"),
+        F.col("all_mean_2").alias("avg_points_2"),
+        deviation_from_moment(F.col("known_1"), F.col("all_m2_1")).alias("stddev_points_1"),
+        deviation_from_moment(F.col("known_2"), F.col("all_m2_2")).alias("stddev_points_2"),
     )
 
 

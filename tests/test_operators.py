@@ -76,6 +76,17 @@ def test_rank_with_a_hot_key_ties_and_nulls(spark, blocks, descending):
     assert rows(ranking.add_rank(df, "v", ["k"], "r", descending, blocks)) == rows(expected)
 
 
+def test_row_numbers_follow_the_whole_order(spark):
+    rng = random.Random(5)
+    data = [(rng.choice([None, *range(20)]), i, rng.choice("ab")) for i in range(500)]
+    df = spark.createDataFrame(data, "v int, id int, _place string").repartition(7)
+    got = ranking.add_row_number(df, [F.desc_nulls_last("v"), F.asc("id")], "place").collect()
+    expected = sorted(data, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert [tuple(r)[:3] for r in sorted(got, key=lambda r: r["place"])] == expected
+    assert sorted(r["place"] for r in got) == list(range(1, 501))
+    assert ranking.add_row_number(df.limit(0), [F.asc("id")], "place").count() == 0
+
+
 def brute_pairs(data):
     """(class 1, class 2, relation) -> rows of both sides, by looking at every pair."""
     events = defaultdict(list)
@@ -93,7 +104,7 @@ def brute_pairs(data):
 
 
 @pytest.mark.parametrize("bits", [2, 4, 16])
-def test_pair_sums_match_all_pairs(spark, bits):
+def test_pair_moments_match_all_pairs(spark, bits):
     """One event holds a third of the rows; ids repeat, spread wide, and go below zero."""
     rng = random.Random(bits)
     data = []
@@ -105,21 +116,59 @@ def test_pair_sums_match_all_pairs(spark, bits):
             None if i % 13 == 0 else float(rng.randrange(30)),
         ))
     df = spark.createDataFrame(data, "e int, p int, t int, c string, x double")
-    got = pairs.pair_sums(df, "e", "p", "t", ["c"], F.col("x"), bits=bits).collect()
+    got = pairs.pair_moments(df, "e", "p", "t", ["c"], F.col("x"), bits=bits).collect()
     expected = brute_pairs(data)
     assert {(r["c_1"], r["c_2"], r["team_relationship"]) for r in got} == set(expected)
     for r in got:
         both = expected[(r["c_1"], r["c_2"], r["team_relationship"])]
-        both = [tuple(None if v is None else v - r["origin"] for v in pair) for pair in both]  # sums are of distances
         known = [(x, y) for x, y in both if x is not None and y is not None]
-        assert r["pairs"] == len(both)
-        assert r["both"] == len(known)
-        assert r["sum_1"] == sum(x for x, _ in known)
-        assert r["squares_2"] == sum(y * y for _, y in known)
-        assert r["products"] == sum(x * y for x, y in known)
-        assert r["all_1"] == sum(x for x, _ in both if x is not None)
-        assert r["known_2"] == sum(y is not None for _, y in both)
-        assert r["all_squares_2"] == sum(y * y for _, y in both if y is not None)
+        assert r["pairs"] == len(both) and r["both"] == len(known)
+        x, y = [x for x, _ in known], [y for _, y in known]
+        every_x, every_y = [x for x, _ in both if x is not None], [y for _, y in both if y is not None]
+        assert (r["known_1"], r["known_2"]) == (len(every_x), len(every_y))
+        for mean, m2, values in (("mean_1", "m2_1", x), ("mean_2", "m2_2", y), ("all_mean_1", "all_m2_1", every_x), ("all_mean_2", "all_m2_2", every_y)):
+            if values:
+                assert r[mean] == pytest.approx(statistics.fmean(values), rel=1e-12)
+                assert r[m2] == pytest.approx(statistics.pvariance(values) * len(values), rel=1e-9, abs=1e-9)
+        if known:
+            mx, my = statistics.fmean(x), statistics.fmean(y)
+            assert r["products"] == pytest.approx(sum((a - mx) * (b - my) for a, b in known), rel=1e-9, abs=1e-8)
+
+
+def correlations_of(spark, data):
+    df = spark.createDataFrame(data, "event_id int, player_id int, event_team_id int, position string, actual_points double")
+    found = position_correlations(df.withColumn("proj_points", F.lit(1.0)), more_than=1)
+    return {(r["position_1"], r["position_2"]): r["correlation"] for r in found.collect()}
+
+
+@pytest.mark.parametrize("outlier", [("K", 0.0), ("A", 0.0), ("B", -3e12)])
+def test_an_outlier_elsewhere_changes_nothing(spark, outlier):
+    """Values near ten million, and a single one far away that no pair of the cell holds."""
+    rng = random.Random(7)
+    data = []
+    for event in range(100):
+        x = rng.gauss(0, 1)
+        data += [(event, 1, 0, "A", 1e7 + x), (event, 2, 0, "B", 1e7 + x + rng.gauss(0, 0.5))]
+    cls, value = outlier
+    alone = [(1000, 1, 0, cls, value), (1000, 2, 1, "other", 1.0)]
+    first, second = ([x for _, _, _, c, x in data if c == k] for k in "AB")
+    expected = statistics.correlation(first, second)
+    assert correlations_of(spark, data + alone)[("A", "B")] == pytest.approx(expected, abs=1e-9)
+    assert correlations_of(spark, data)[("A", "B")] == pytest.approx(expected, abs=1e-9)
+
+
+def test_no_spread_is_null_whatever_the_rounding(spark):
+    data = [(e, p, 0, c, 0.1 if c == "A" else float(e)) for e in range(97) for p, c in ((1, "A"), (2, "B"))]
+    assert correlations_of(spark, data) == {("A", "B"): None}
+
+
+def test_an_id_that_repeats_counts_every_row_once(spark):
+    """A hundred thousand rows of one id in one event are a single row of the window."""
+    many = spark.range(100_000).select(F.lit(1).alias("e"), F.lit(5).alias("p"), F.lit(0).alias("t"), F.lit("A").alias("c"), (F.col("id") % 10).cast("double").alias("x"))
+    few = spark.createDataFrame([(1, 9, 0, "B", 1.0), (1, 3, 0, "B", 4.0)], many.schema)
+    found = {(r["c_1"], r["c_2"]): r for r in pairs.pair_moments(many.unionByName(few), "e", "p", "t", ["c"], F.col("x")).collect()}
+    assert {k: v["pairs"] for k, v in found.items()} == {("A", "B"): 100_000, ("B", "A"): 100_000, ("B", "B"): 1}
+    assert found[("A", "B")]["mean_1"] == pytest.approx(4.5) and found[("B", "A")]["m2_2"] == pytest.approx(825_000)
 
 
 def test_large_values_close_to_each_other_correlate(spark):
