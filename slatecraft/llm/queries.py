@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slatecraft.llm import chat, compression, decontamination, extraction, jaccard, licences, packing, phrases, pivots, quality, secrets, urls
+from slatecraft.llm import chat, compression, decontamination, extraction, jaccard, licences, packing, phrases, pivots, quality, resampling, secrets, urls
 from slatecraft.llm.frames import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,13 +86,18 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_extraction, op4_secrets, op5_licences, op6_decontamination, op7_compression, op8_chat, op9_jaccard, op10_pivots, op11_urls, op12_phrases, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_quality, op3_extraction, op4_secrets, op5_licences, op6_decontamination, op7_compression, op8_chat, op9_jaccard, op10_pivots, op11_urls, op12_phrases, op13_resampling, pipeline)}
 SQL: dict[str, str] = {}
 
 _SPANS = """
@@ -175,3 +180,30 @@ kept AS (SELECT w.* FROM weakest w LEFT JOIN holders h ON h.lang = w.lang AND h.
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
+
+# the checksum goes byte by byte through the fixed table of the reversed polynomial
+SQL["op13_resampling"] = r"""
+WITH table_(crcs) AS (
+  SELECT list(list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) FROM range(256) bytes(b)),
+texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS row, doc_id, text FROM documents
+  UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark),
+lists AS (SELECT side, row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts),
+runs AS (SELECT side, row, unnest(list_transform(range(1, len(words) - n + 2), lambda i: array_to_string(words[i:i + n - 1], ' '))) AS feature
+         FROM lists, (VALUES (1), (2), (3)) sizes(n) WHERE len(words) >= n),
+distinct_ AS (SELECT DISTINCT feature FROM runs),
+bytes AS (SELECT feature, hex(encode(feature)) AS digits FROM distinct_),
+hashed AS (
+  SELECT feature, xor(list_reduce(list_transform(range(length(digits) // 2), lambda i: ('0x' || digits[2 * i + 1:2 * i + 2])::BIGINT),
+    lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM bytes, table_),
+placed AS (SELECT side, row, bucket FROM runs JOIN hashed USING (feature)),
+counts AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 't') AS t FROM placed GROUP BY bucket),
+gains AS (SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE) / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM counts),
+weights AS (SELECT row, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY row),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(words) >= 20 AS long,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM lists LEFT JOIN weights USING (row) WHERE side = 'd'),
+ranked AS (SELECT *, row_number() OVER (ORDER BY long DESC, score DESC, doc_id NULLS LAST) AS place, count(*) FILTER (long) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank FROM ranked
+"""
