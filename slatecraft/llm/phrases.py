@@ -144,6 +144,8 @@ def blocks(docs: DataFrame) -> DataFrame:
 _RANDOM = np.random.default_rng(20_121)
 _VALUE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so that its powers have inverses
+#: 48 bits are sent: as the text decides, a shared fingerprint costs a needless run of text and no more.
+_KEPT = np.uint64(0xFFFFFFFFFFFF0000)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 
 
@@ -192,7 +194,7 @@ def fingerprints(text: np.ndarray, first: np.ndarray, last: np.ndarray, lang: st
     found *= _powers(_INVERSE, len(text))[first]
     salt = np.frombuffer(lang.encode(), np.uint8)
     own = (_VALUE[salt] * _powers(_BASE, len(salt))[:-1]).sum(keepdims=True)
-    return _mixed(found ^ _mixed(own + np.uint64(1)))
+    return _mixed(found ^ _mixed(own + np.uint64(1))) & _KEPT
 
 
 def _shard_of(prints: np.ndarray, shards: int) -> np.ndarray:
