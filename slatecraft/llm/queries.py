@@ -88,7 +88,7 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return resampling.resample(docs, table(spark, sf_dir, "benchmark")).select("doc_id", "n_features", "weight", "score", "rank")
+    return resampling.resample(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"]).select("doc_id", "n_features", "weight", "score", "rank")
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ a column called like one of the output is replaced.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -231,15 +231,18 @@ def noise(doc_id: Column, seed: int) -> Column:
     return F.floor(-1000 * F.log(-F.log((number + 0.5) / 4294967296.0)))
 
 
-def resample(docs: DataFrame, target: DataFrame, percent: int = 5, least_words: int = 20, seed: int = 42) -> DataFrame:
+def resample(
+    docs: DataFrame, target: DataFrame, percent: int = 5, least_words: int = 20, seed: int = 42, keep: Sequence[str] | None = None
+) -> DataFrame:
     """All rows with ``n_features``, ``weight``, ``score`` and ``rank``, which is null for those not drawn.
 
-    Drawn are ``percent`` of the documents with at least ``least_words`` words, those with the highest scores, ties by
+    Rows are written and sorted by score with the columns named in ``keep``; by default that is all of them, texts
+    included. Drawn are ``percent`` of the documents with at least ``least_words`` words, those with the highest scores, ties by
     the smaller doc_id.
     """
     weighed = weigh(docs, gains(docs, target))
     place, long_ = unused(weighed, "place_", "long_")
-    kept = [c for c in weighed.columns if c.lower() not in ("score", "rank", "n_words")]
+    kept = [c for c in (weighed.columns if keep is None else [*keep, "n_features", "weight"]) if c.lower() not in ("score", "rank", "n_words")]
     scored = written(
         weighed.select(*kept, (F.col("weight") + noise(F.col("doc_id"), seed)).alias("score"), (F.col("n_words") >= least_words).alias(long_))
     )
