@@ -13,6 +13,7 @@ from checks import tables as t
 from checks.registry import query
 from slatecraft.functions.numeric import round_to
 from slatecraft.functions.text import SLATE_TYPES
+from slatecraft.operators.reshape import slot_names
 from slatecraft.plans import normalise, summaries
 from slatecraft.plans.top_lineups import SINGLE_GAME_SLOTS
 from slatecraft.sources import schemas
@@ -309,10 +310,11 @@ SELECT slot, count(*) AS lineups FROM (
   ON {', '.join(SINGLE_GAME_SLOTS)} INTO NAME slot VALUE player) GROUP BY slot""",
 )
 def rsh12(spark, sf_dir):
-    """Slots that occur in the maps of the raw line-ups, and how often."""
-    names = raw_lineups(spark, sf_dir).select("slate_id", "lineups.lineupHash", "lineups.lineupPlayers")
-    once = names.select("slate_id", "lineupHash", F.explode(F.map_keys("lineupPlayers")).alias("k")).distinct()
-    return once.groupBy(F.lower("k").alias("slot")).agg(F.count(F.lit(1)).alias("lineups"))
+    """Slots that occur in the maps of the raw line-ups, as columns, and how many line-ups fill them."""
+    placed = normalise.placed_lineups(raw_lineups(spark, sf_dir))
+    slots = slot_names(placed, "_players")
+    filled = normalise.last_landed(placed, slots).agg(*[F.count(f"pos_{s}").alias(s) for s in slots])
+    return filled.unpivot([], slots, "slot", "lineups").filter(F.col("lineups") > 0)
 
 
 # --- lines ------------------------------------------------------------------------------------

@@ -732,11 +732,18 @@ def fn20(spark, sf_dir):
 
 @query(
     "fn21_fixed_tables",
-    """SELECT o_orderkey, CASE CAST(substr(o_orderpriority, 1, 1) AS INTEGER) WHEN 3 THEN 'fd_classic' WHEN 4 THEN 'dk_classic' END AS slate_type FROM orders""",
+    """SELECT o_orderkey, CASE CAST(substr(o_orderpriority, 1, 1) AS INTEGER) WHEN 3 THEN 'fd_classic' WHEN 4 THEN 'dk_classic' END AS slate_type,
+       CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 END AS sport_id, CASE o_orderstatus WHEN 'F' THEN 'football/nfl' WHEN 'O' THEN 'basketball/nba' END AS league FROM orders""",
 )
 def fn21(spark, sf_dir):
     source = F.substring("o_orderpriority", 1, 1).cast("int")
-    return t.table(spark, sf_dir, "orders").select("o_orderkey", text.lookup(source, text.SLATE_TYPES).alias("slate_type"))
+    sport = F.when(F.col("o_orderstatus") == "F", "NFL").when(F.col("o_orderstatus") == "O", "NBA")
+    return t.table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        text.lookup(source, text.SLATE_TYPES).alias("slate_type"),
+        text.lookup(sport, text.SPORT_IDS).alias("sport_id"),
+        text.lookup(sport, text.ODDS_LEAGUES).alias("league"),
+    )
 
 
 @query(

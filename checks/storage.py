@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from checks import documents, marts, tables as t
-from checks.registry import query
-from slatecraft.plans import normalise, team_stacks
+from checks.registry import SQL, query
+from slatecraft.plans import jobs, normalise, team_stacks
 from slatecraft.session import shared_folder
 from slatecraft.sources import layout, ledger, raw, schemas, sinks
 
@@ -71,11 +72,22 @@ def snk4(spark, sf_dir):
     return stored.groupBy("customer.id", "customer.name").agg(F.count("*").alias("orders"), F.sum("total").alias("total"))
 
 
-@query("snk5_view", "SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey")
+@query(
+    "snk5_table",
+    """SELECT o_custkey, c_name, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE o_orderstatus = 'F' GROUP BY ALL""",
+)
 def snk5(spark, sf_dir):
-    """A named view over a query instead of a table in a database file."""
-    orders(spark, sf_dir).createOrReplaceTempView("staged_orders")
-    return spark.sql("SELECT o_custkey, count(*) AS n FROM staged_orders GROUP BY o_custkey")
+    """Two bucketed tables made from queries, one of them replaced as a whole, and a join on their key."""
+    path = shared_folder(spark, "snk5")
+    staged, people = "staged_" + path[-32:], "people_" + path[-32:]
+    customers = t.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    sinks.replace_table(customers, people, f"{path}/people", "o_custkey", 8)
+    rows = t.table(spark, sf_dir, "orders")
+    for status in ("O", "F"):
+        chosen = rows.filter(F.col("o_orderstatus") == status).select("o_orderkey", "o_custkey")
+        sinks.replace_table(chosen, staged, f"{path}/staged", "o_custkey", 8)
+    return spark.table(staged).join(spark.table(people), "o_custkey").groupBy("o_custkey", "c_name").agg(F.count("*").alias("n"))
 
 
 @query("snk6_lines_to_parquet", "SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
@@ -87,26 +99,36 @@ def snk6(spark, sf_dir):
     return spark.read.parquet(f"{path}/parquet")
 
 
-@query(
-    "snk8_four_outputs",
-    f"""WITH {marts.STACKS_SQL},
-defended AS (SELECT contest_id, lineup_rank, max(team) AS team FROM positions WHERE position_normalized = 'DST' GROUP BY ALL),
-anchored AS (SELECT contest_id, lineup_rank FROM positions WHERE position_normalized = 'QB' GROUP BY ALL)
-SELECT 'team_details' AS output, count(*)::BIGINT AS lineups FROM team_counts
-UNION ALL SELECT 'qb_patterns', count(*)::BIGINT FROM anchored
-UNION ALL SELECT 'dst_patterns', count(*)::BIGINT FROM defended""",
-)
+_REPORTS = {
+    "stack_sizes": ("mrt9_stack_sizes", ["stack_combination"]),
+    "team_details": ("mrt10_team_details", ["team", "stack_size", "position_combo", "position_combo_count"]),
+    "qb_patterns": ("mrt11_anchor_patterns", ["stack_type"]),
+    "dst_patterns": ("mrt12_anchor_in_stack", ["dst_in_stack", "most_common_position_combo", "combo_count"]),
+}
+
+
+def _report_sql(output: str, name: str, label: list[str]) -> str:
+    texts = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in label)
+    share = "pct_of_qb_stacks" if output == "qb_patterns" else "pct_of_lineups"
+    return f"SELECT '{output}' AS output, concat_ws('|', {texts}) AS label, lineup_count, {share} AS share, avg_total_own, avg_lineup_rank FROM ({SQL[name]})"
+
+
+@query("snk8_four_outputs", " UNION ALL ".join(_report_sql(output, *of) for output, of in _REPORTS.items()))
 def snk8(spark, sf_dir):
-    """The mart is written once, four reports are made from it; line-ups counted in three of them."""
+    """The mart is written once, four reports are made from one reading of it, and read back in full."""
     path = shared_folder(spark, "snk8")
     sinks.write_mart(marts.mart(spark, sf_dir, marts.STACKED), f"{path}/mart")
-    reports = team_stacks.all_reports(spark.read.parquet(f"{path}/mart"), t.STACK_SLOTS)
-    sinks.write_reports(reports, path)
-    sums = [
-        spark.read.parquet(f"{path}/{name}").agg(F.sum("lineup_count").alias("lineups")).select(F.lit(name).alias("output"), "lineups")
-        for name in ("team_details", "qb_patterns", "dst_patterns")
-    ]
-    return sums[0].unionByName(sums[1]).unionByName(sums[2])
+    sinks.write_reports(team_stacks.all_reports(spark.read.parquet(f"{path}/mart"), t.STACK_SLOTS), path)
+    rows = None
+    for output, (_, label) in _REPORTS.items():
+        texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in label]
+        share = "pct_of_qb_stacks" if output == "qb_patterns" else "pct_of_lineups"
+        found = spark.read.parquet(f"{path}/{output}").select(
+            F.lit(output).alias("output"), F.concat_ws("|", *texts).alias("label"), "lineup_count",
+            F.col(share).alias("share"), "avg_total_own", "avg_lineup_rank",
+        )
+        rows = found if rows is None else rows.unionByName(found)
+    return rows
 
 
 @query(
@@ -192,12 +214,149 @@ def src15(spark, sf_dir):
 FROM events WHERE event_type <> 'error' GROUP BY user_id, event_type""",
 )
 def src16(spark, sf_dir):
+    """Files of one indented document each."""
     path = shared_folder(spark, "src16")
-    documents.raw_odds(spark, sf_dir).write.json(path)
-    odds = raw.read_lines(spark, path, schemas.ODDS_RAW)
+    made = documents.raw_odds(spark, sf_dir)
+    pretty = made.select(F.to_json(F.struct(*made.columns), {"pretty": "true"}).alias("value"))
+    pretty.write.option("maxRecordsPerFile", 1).text(path)
+    odds = raw.read_documents(spark, path, schemas.ODDS_RAW)
     return normalise.pregame_odds(odds).select("game_id", "spread_open")
 
 
+@query(
+    "src1_damaged_lines",
+    """SELECT year(o_orderdate) AS y, count(*) AS documents,
+       count(*) FILTER (substr(o_orderpriority, 1, 1) IN ('1', '2', '3')) AS damaged,
+       count(*) FILTER (substr(o_orderpriority, 1, 1) IN ('4', '5')) AS whole,
+       count(*) FILTER (substr(o_orderpriority, 1, 1) = '1') AS cut_short,
+       count(*) FILTER (substr(o_orderpriority, 1, 1) = '2') AS quoted
+FROM orders GROUP BY 1""",
+)
+def src1(spark, sf_dir):
+    """Lines cut short, with a number in quotes and with a fraction are told from whole ones, their text kept."""
+    path = shared_folder(spark, "src1")
+    kind = F.substring("o_orderpriority", 1, 1)
+    line = F.to_json(F.struct("o_orderkey", "o_custkey"))
+    damaged = (
+        F.when(kind == "1", F.substring(line, F.lit(1), F.length(line) - 3))
+        .when(kind == "2", F.regexp_replace(line, ":([0-9]+)}", ':"$1"}'))
+        .when(kind == "3", F.regexp_replace(line, "}", ".5}"))
+        .otherwise(line)
+    )
+    t.table(spark, sf_dir, "orders").select(damaged.alias("value"), F.year("o_orderdate").alias("y")).write.partitionBy("y").text(path)
+    schema = T.StructType([T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType())])
+    found = raw.read_lines(spark, path, schema, damaged=True)
+    text = F.col(raw.DAMAGED)
+    return found.groupBy("y").agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.count(text).alias("damaged"),
+        F.count_if(text.isNull() & F.col("o_custkey").isNotNull()).alias("whole"),
+        F.count_if(~text.endswith("}") & F.col("o_custkey").isNull()).alias("cut_short"),
+        F.count_if(text.endswith('"}') & F.col("o_orderkey").isNotNull()).alias("quoted"),
+    )
+
+
+@query(
+    "src12_non_empty",
+    """SELECT 'orders' AS name, EXISTS (FROM orders) AS has_rows UNION ALL SELECT 'later', EXISTS (FROM orders WHERE o_orderdate > DATE '2500-01-01')""",
+)
+def src12(spark, sf_dir):
+    rows = t.table(spark, sf_dir, "orders")
+    tests = {"orders": rows, "later": rows.filter(F.col("o_orderdate") > F.lit("2500-01-01").cast("date"))}
+    return spark.createDataFrame([(name, layout.has_rows(df)) for name, df in tests.items()], "name string, has_rows boolean")
+
+
+# --- jobs -------------------------------------------------------------------------------------
+
+
+def _land_contests(spark, sf_dir, root, broken=()):
+    """A folder for each year, a document for some orders of one priority; urgent ones of some years are cut short."""
+    keys = F.collect_list(F.struct(F.col("o_orderkey").cast("string").alias("contest_id")))
+    made = (
+        t.table(spark, sf_dir, "orders")
+        .groupBy(F.year("o_orderdate").alias("y"), "o_orderpriority", documents.chunk("o_orderkey").alias("k"))
+        .agg(F.to_json(F.struct(keys.alias("live_contests"))).alias("value"))
+    )
+    cut = F.col("y").isin(*broken) & F.col("o_orderpriority").startswith("1")
+    made = made.withColumn("value", F.when(cut, F.substring("value", F.lit(1), F.length("value") - 3)).otherwise(F.col("value")))
+    stored = f"{root}/made"
+    made.select("value", "y").write.parquet(stored)
+    for year in range(t.YEARS[0], t.YEARS[1] + 1):
+        day = spark.read.parquet(stored).filter(F.col("y") == year).select("value")
+        day.write.text(f"{root}/landed/NFL/contests/dk_classic/{year}-01-01")
+
+
+@query(
+    "inc4_damaged_dates",
+    """SELECT 'dds' AS pipeline, 'NFL' AS sport, 'contests' AS table_name, year(o_orderdate) || '-01-01' AS date,
+       count(*) AS contests, year(o_orderdate) <> 1996 AS marked
+FROM orders WHERE NOT (year(o_orderdate) = 1996 AND o_orderpriority LIKE '1%') AND year(o_orderdate) BETWEEN {} AND {}
+GROUP BY ALL""".format(*t.YEARS),
+)
+def inc4(spark, sf_dir):
+    """Dates are marked after their table is written, but not the one with damaged documents."""
+    root = shared_folder(spark, "inc4")
+    _land_contests(spark, sf_dir, root, broken=(1996,))
+    jobs.normalise_pending(spark, f"{root}/landed", f"{root}/dds", f"{root}/ledger", "NFL", "contests", "2030-01-01")
+    stored = layout.read_table(spark, f"{root}/dds", "contests").groupBy(F.col("date").cast("string").alias("date")).agg(F.count("*").alias("contests"))
+    done = ledger.read_ledger(spark, f"{root}/ledger").select("date", F.lit(True).alias("marked"))
+    return stored.join(done, "date", "left").select(
+        F.lit("dds").alias("pipeline"), F.lit("NFL").alias("sport"), F.lit("contests").alias("table_name"), "date", "contests",
+        F.coalesce("marked", F.lit(False)).alias("marked"),
+    )
+
+
+@query(
+    "inc7_back_fill",
+    "SELECT year(o_orderdate) || '-01-01' AS date, CASE WHEN year(o_orderdate) <= 1997 THEN 1 ELSE 2 END AS run, count(*) AS contests FROM orders WHERE year(o_orderdate) BETWEEN {} AND {} GROUP BY ALL".format(*t.YEARS),
+)
+def inc7(spark, sf_dir):
+    """A first run takes all dates landed and settled so far, a second one only those since."""
+    root = shared_folder(spark, "inc7")
+    _land_contests(spark, sf_dir, root)
+    runs = []
+    for number, day in enumerate(("1997-01-06", "2030-01-01"), 1):
+        found = jobs.normalise_pending(spark, f"{root}/landed", f"{root}/dds", f"{root}/ledger", "NFL", "contests", day)
+        runs += [(d, number) for d in found]
+    stored = layout.read_table(spark, f"{root}/dds", "contests").groupBy(F.col("date").cast("string").alias("date")).agg(F.count("*").alias("contests"))
+    return stored.join(spark.createDataFrame(runs, "date string, run int"), "date").select("date", "run", "contests")
+
+
+def _store_min_points_tables(spark, sf_dir, root):
+    """The three tables of the job in date folders, with the declared columns."""
+    contests, lineups, groups = marts.min_points_inputs(spark, sf_dir)
+    day = lambda c: F.regexp_replace(F.col(c).cast("string"), "^(....)(..)(..)$", "$1-$2-$3")
+    dated = contests.withColumn("date", day("date_id"))
+    made = {
+        "contests": dated,
+        "lineups": lineups.drop("date_id").join(dated.select("contest_id", "date"), "contest_id"),
+        "draft_groups": groups.withColumn("date", day("date_id")),
+    }
+    for name, df in made.items():
+        schema = jobs.TABLES[name].stored_schema(spark)
+        rows = df.withColumns({"sport": F.lit("NFL"), "game_type": F.lit("dk_classic")})
+        cells = [F.col(f.name).try_cast(f.dataType) if f.name in rows.columns else F.lit(None).cast(f.dataType) for f in schema]
+        sinks.replace_partitions(rows.select(*[c.alias(f.name) for c, f in zip(cells, schema)]), f"{root}/{name}")
+
+
+def _stored_min_points(spark, sf_dir, start, end):
+    root = shared_folder(spark, "min-points")
+    _store_min_points_tables(spark, sf_dir, root)
+    return jobs.min_points_between(spark, root, "NFL", start, end)
+
+
+@query("flt8_pruned_min_points", f"WITH {marts.MIN_POINTS_SQL} SELECT * FROM min_points")
+def flt8(spark, sf_dir):
+    """Min points through the job's reader: only the folders of the months in range, of all three tables."""
+    return _stored_min_points(spark, sf_dir, marts.START, marts.END)
+
+
+@query("inc8_all_time", f"WITH {marts.MIN_POINTS_SQL.replace('WHERE date_id BETWEEN 19960101 AND 20001231', '')} SELECT * FROM min_points")
+def inc8(spark, sf_dir):
+    """The same job without dates: everything."""
+    return _stored_min_points(spark, sf_dir, None, None)
+
+
 # --- ledger -----------------------------------------------------------------------------------
 
 

@@ -80,14 +80,12 @@ def explode_map(df: DataFrame, keep: Sequence[str], entries: Column, key: str, v
     return df.select(*keep, F.explode(entries).alias(key, value))
 
 
-def slots_from_map(players: Column, slots: Sequence[str]) -> list[Column]:
-    """``pos_*`` columns out of a map of slot to player id; keys compare without case, the last of equal ones counts."""
-
-    def last(slot: str) -> Column:
-        entries = F.filter(F.map_entries(players), lambda e: F.lower(e["key"]) == F.lit(slot))
-        return F.try_element_at(entries, F.lit(-1))["value"]
-
-    return [last(s).alias(f"pos_{s}") for s in slots]
+def with_slots(df: DataFrame, players: str, slots: Sequence[str]) -> DataFrame:
+    """Replaces a map of slot to player id by ``pos_*`` columns; keys compare without case, the last of equal ones counts."""
+    names = F.reverse(F.transform(F.map_keys(players), F.lower))
+    listed = df.withColumns({"_names": names, "_ids": F.reverse(F.map_values(players))}).drop(players)
+    cells = {f"pos_{s}": F.get("_ids", F.array_position("_names", F.lit(s)).cast("int") - 1) for s in slots}
+    return listed.withColumns(cells).drop("_names", "_ids")
 
 
 def slot_names(lineups: DataFrame, players: str) -> list[str]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slatecraft.functions.casting import (
@@ -16,7 +16,7 @@ from slatecraft.functions.casting import (
 )
 from slatecraft.functions.metrics import american_number, line_moved, movement
 from slatecraft.functions.text import NORMALISED_SLATE_TYPES, SLATE_TYPES, lookup, name_parts
-from slatecraft.operators.reshape import explode_map, slots_from_map
+from slatecraft.operators.reshape import explode_map, with_slots
 
 # --- fixed values: raw field names, output names and the on-ice situation of line statistics -----
 PLAYER_FIELDS = {
@@ -220,24 +220,36 @@ def lineups(raw: DataFrame, slots: Sequence[str]) -> DataFrame:
     """One row per line-up, with a column per slot and nested details as JSON text.
 
     ``slots`` is the list of the game type; a line-up without a slot has null there. A line-up that
-    was landed twice for a contest counts once, as it was landed last; ties go to the largest row as
-    JSON text. Line-ups without a hash can't be told apart and all count.
+    was landed twice for a contest counts once, as it was landed last; ties go to the largest 64-bit hash of
+    the row. Line-ups without a hash can't be told apart and all count.
     """
+    return last_landed(placed_lineups(raw), slots)
+
+
+def placed_lineups(raw: DataFrame) -> DataFrame:
+    """Line-ups with their details as text, slots still as a map ``_players``, and the load time ``_loaded``."""
     keep = _partition(raw, PARTITION)
     loaded = F.col("load_ts") if "load_ts" in raw.columns else F.lit(None).cast("timestamp")
-    rows = raw.select(
+    return raw.select(
         *keep,
         F.col("slate_id").alias("contest_id"),
         *[F.col(f"lineups.{f}").alias(name) for name, f in LINEUP_FIELDS.items()],
-        *slots_from_map(F.col("lineups.lineupPlayers"), slots),
+        F.col("lineups.lineupPlayers").alias("_players"),
         *[json_or_null(F.col(f"lineups.{f}")).alias(name) for name, f in LINEUP_JSON.items()],
         loaded.alias("_loaded"),
     )
-    columns = [c for c in rows.columns if c != "_loaded"]
-    last = F.struct(F.col("_loaded").isNotNull(), "_loaded", F.to_json(F.struct(*columns)))
-    known = rows.where("lineup_hash IS NOT NULL").groupBy(*keep, "contest_id", "lineup_hash")
-    once = known.agg(F.max_by(F.struct(*columns), last).alias("_row")).select("_row.*")
-    return once.unionByName(rows.where("lineup_hash IS NULL").drop("_loaded"))
+
+
+def last_landed(placed: DataFrame, slots: Sequence[str]) -> DataFrame:
+    """Slots as columns, and of each contest and line-up the row landed last."""
+    before = [c for c in placed.columns if c not in ("_players", "_loaded", *LINEUP_JSON)]
+    rows = with_slots(placed, "_players", slots)
+    columns = [*before, *[f"pos_{s}" for s in slots], *[c for c in LINEUP_JSON]]
+    known = rows.where("lineup_hash IS NOT NULL").withColumn("_hash", F.xxhash64(*columns))
+    keys = [*_partition(placed, PARTITION), "contest_id", "lineup_hash"]
+    newest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("_loaded"), F.desc("_hash"))
+    once = known.withColumn("_place", F.row_number().over(newest)).where("_place = 1")
+    return once.select(*columns).unionByName(rows.where("lineup_hash IS NULL").select(*columns))
 
 
 def line_label(position: Column, rank: Column) -> Column:

@@ -26,6 +26,7 @@ from slatecraft.functions.text import DEFENCE, normalise_position
 from slatecraft.operators.reshape import unpivot_attributes
 from slatecraft.operators.shares import over_all, share_of
 from slatecraft.plans.top_lineups import CLASSIC_SLOTS
+from slatecraft.session import shared_folder
 
 # --- fixed values -----------------------------------------------------------------------------
 ANCHOR = "QB"
@@ -52,9 +53,13 @@ def positions_normalised(mart: DataFrame, slots: Sequence[str] = CLASSIC_SLOTS)
 
 
 def _with_stacks(mart: DataFrame, slots: Sequence[str]) -> DataFrame:
-    return mart.select(*_LINEUP, slot_entries(slots).alias("entries")).withColumn(
-        "stacks", stacks(F.col("entries"))
-    )
+    if "stacks" in mart.columns:
+        return mart
+    return _with_entries(mart, slots).withColumn("stacks", stacks(F.col("entries")))
+
+
+def _with_entries(mart: DataFrame, slots: Sequence[str]) -> DataFrame:
+    return mart if "entries" in mart.columns else mart.select(*_LINEUP, slot_entries(slots).alias("entries"))
 
 
 def team_counts(mart: DataFrame, slots: Sequence[str] = CLASSIC_SLOTS) -> DataFrame:
@@ -177,7 +182,7 @@ def anchor_patterns(
     """Who is stacked with the quarterback; shares refer to the line-ups that stack at all."""
     entries = F.col("entries")
     teamed = (
-        mart.select(*_LINEUP, slot_entries(slots).alias("entries"))
+        _with_entries(mart, slots)
         .withColumn("qb_team", team_of(entries, ANCHOR))
         .filter(F.col("qb_team").isNotNull())
     )
@@ -224,10 +229,17 @@ def defence_patterns(mart: DataFrame, slots: Sequence[str] = CLASSIC_SLOTS) -> D
 
 
 def all_reports(mart: DataFrame, slots: Sequence[str] = CLASSIC_SLOTS) -> dict[str, DataFrame]:
-    """The four outputs by table name."""
+    """The four outputs by table name.
+
+    The slots of a line-up are read and stacked once and written with its rank and ownership; the outputs come from
+    these narrow rows.
+    """
+    folder = shared_folder(mart.sparkSession, "stacks")
+    _with_stacks(mart, slots).write.parquet(folder)
+    stacked = mart.sparkSession.read.parquet(folder)
     return {
-        "stack_sizes": stack_sizes(mart, slots),
-        "team_details": team_details(mart, slots),
-        "qb_patterns": anchor_patterns(mart, slots),
-        "dst_patterns": defence_patterns(mart, slots),
+        "stack_sizes": stack_sizes(stacked),
+        "team_details": team_details(stacked),
+        "qb_patterns": anchor_patterns(stacked),
+        "dst_patterns": defence_patterns(stacked),
     }

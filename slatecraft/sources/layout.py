@@ -44,6 +44,13 @@ def month_patterns(start: str | None, end: str | None) -> list[str]:
     return [f"{m // 12}-{m % 12 + 1:02d}-*" for m in months]
 
 
+def month_bounds(start: str | None, end: str | None) -> tuple[str, str] | None:
+    """First and last day, as texts, of the months from one date to another; none unless both are given."""
+    if not start or not end:
+        return None
+    return f"{date.fromisoformat(start):%Y-%m}-01", f"{date.fromisoformat(end):%Y-%m}-31"
+
+
 def read_or_empty(
     spark: SparkSession,
     patterns: Sequence[str],
@@ -76,8 +83,10 @@ def with_path_columns(df: DataFrame, typed: bool = True) -> DataFrame:
     return added.drop("_path")
 
 
-def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
-    """A table written by the jobs."""
+def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType | None = None) -> DataFrame:
+    """A table written by the jobs; with a declared schema no footer is read, and missing columns are null."""
+    if schema is not None:
+        return spark.read.schema(schema).parquet(f"{root}/{table}")
     return spark.read.option("mergeSchema", "true").parquet(f"{root}/{table}")
 
 

@@ -9,16 +9,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+#: Column with the whole text of a document that is no JSON or has a field of another type.
+DAMAGED = "_damaged"
+
+
 def read_lines(
-    spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType, spread: int | None = None
+    spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType, damaged: bool = False
 ) -> DataFrame:
-    """Line-delimited JSON, gzip by file name.
+    """Line-delimited JSON, gzip by file name; a gzip file is read by one task.
 
-    A gzip file is read by one task. ``spread`` redistributes the parsed documents before they are
-    exploded; many files need none.
+    With ``damaged`` the column of that name holds the text of documents that do not fit the schema, else null.
+    Fields that fit are still filled in, the others are null.
     """
-    df = spark.read.schema(schema).json(paths)
-    return df.repartition(spread) if spread else df
+    if not damaged:
+        return spark.read.schema(schema).json(paths)
+    marked = T.StructType([*schema.fields, T.StructField(DAMAGED, T.StringType())])
+    return spark.read.schema(marked).option("columnNameOfCorruptRecord", DAMAGED).json(paths)
 
 
 def read_documents(spark: SparkSession, paths: Sequence[str] | str, schema: T.StructType) -> DataFrame:

@@ -40,6 +40,16 @@ def write_nested(df: DataFrame, path: str) -> None:
     with_load_time(df).write.mode("overwrite").parquet(path)
 
 
+def replace_table(df: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
+    """A catalog table from a query, replaced as a whole, its rows dealt to buckets by key.
+
+    Each bucket is one file, so tables of the same key and number of buckets join without moving rows. The files lie in
+    ``path``; the catalog only names them.
+    """
+    dealt = df.repartition(buckets, key)
+    dealt.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
+
+
 def write_reports(reports: Mapping[str, DataFrame], root: str) -> None:
     """Several outputs of one job."""
     for name, df in reports.items():

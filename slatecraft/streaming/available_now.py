@@ -2,7 +2,8 @@
 
 The stream's checkpoint remembers which files were read, in place of the ledger. A batch tells which
 dates have new files; these dates are then read as a whole and replaced, so a file that lands late
-adds to its date. Game types are those of the ledger jobs.
+adds to its date. Game types are those of the ledger jobs. Damaged documents
+are written aside, as there.
 """
 
 from __future__ import annotations
@@ -12,8 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from slatecraft.functions.text import NORMALISED_SLATE_TYPES
-from slatecraft.plans.jobs import TABLES, read_landed
-from slatecraft.sources.sinks import replace_partitions
+from slatecraft.plans.jobs import TABLES, store_landed
 
 
 def normalise_new_files(
@@ -35,7 +35,7 @@ def normalise_new_files(
     def write(batch: DataFrame, _: int) -> None:
         folders = [row["folder"] for row in batch.distinct().collect()]  # a row per date and game type
         if folders:
-            replace_partitions(job.normalise(read_landed(batch.sparkSession, folders, job)), f"{out}/{table}")
+            store_landed(batch.sparkSession, folders, job, out, table)
 
     return (
         arrived.writeStream.foreachBatch(write)

@@ -51,6 +51,51 @@ def test_nothing_landed(spark, tmp_path):
     assert run(spark, tmp_path, tmp_path / "none") == []
 
 
+def test_damaged_documents_keep_their_date_out(spark, tmp_path, landed):
+    """No JSON, a number in quotes, a fraction for a whole number: counted, put aside, their dates not finished."""
+    root = tmp_path / "staging"
+    good = {"slate_id": 5, "lineups": {"lineupHash": "a", "lineupRank": 1, "lineupPlayers": {"QB1": 7}}}
+    damage = {
+        "2025-09-01": [json.dumps(good), json.dumps(good)[:40]],
+        "2025-09-02": [json.dumps({**good, "slate_id": "5"}), json.dumps(good)],
+        "2025-09-03": [json.dumps({"slate_id": 5, "lineups": {"lineupHash": "b", "lineupRank": 1.5}})],
+        "2025-09-04": [json.dumps(good)],
+    }
+    for day, lines in damage.items():
+        folder = root / f"NFL/lineups/dk_classic/{day}"
+        folder.mkdir(parents=True)
+        (folder / "data.json").write_text("\n".join(lines))
+    places = [str(root), str(tmp_path / "dds"), str(tmp_path / "ledger")]
+    assert jobs.normalise_pending(spark, *places, "NFL", "lineups", "2025-10-01") == ["2025-09-04"]
+    table = spark.read.parquet(str(tmp_path / "dds/lineups")).withColumn("date", F.col("date").cast("string"))
+    assert rows(table, "date", "contest_id", "pos_qb1") == [("2025-09-01", 5, 7), ("2025-09-02", 5, 7), ("2025-09-04", 5, 7)]
+    aside = spark.read.parquet(str(tmp_path / "dds/_damaged/lineups")).withColumn("date", F.col("date").cast("string"))
+    assert rows(aside, "date", "text") == [(day, damage[day][i]) for day, i in (("2025-09-01", 1), ("2025-09-02", 0), ("2025-09-03", 0))]
+    assert rows(ledger.read_ledger(spark, str(tmp_path / "ledger")), "date") == [("2025-09-04",)]
+    # mended and landed anew: the dates are still due
+    for day in list(damage)[:3]:
+        (root / f"NFL/lineups/dk_classic/{day}/data.json").write_text(json.dumps(good))
+    assert jobs.normalise_pending(spark, *places, "NFL", "lineups", "2025-10-01") == list(damage)[:3]
+
+
+def test_dates_prune_all_three_tables(spark, tmp_path):
+    tables = str(tmp_path / "dds")
+    for name in ("contests", "lineups", "draft_groups"):
+        schema = jobs.TABLES[name].stored_schema(spark)
+        empty = spark.createDataFrame([tuple(None for _ in schema)] * 3, schema)
+        days = F.element_at(F.array(*[F.lit(d) for d in ("2025-01-31", "2025-02-01", "2025-03-05")]), (F.monotonically_increasing_id() % 3 + 1).cast("int"))
+        filled = empty.coalesce(1).withColumns({"date": days, "sport": F.lit("NFL"), "game_type": F.lit("dk_classic")})
+        filled.write.partitionBy(*layout.PARTITION).parquet(f"{tables}/{name}")
+    plan = jobs.min_points_between(spark, tables, "NFL", "2025-02-10", "2025-02-20")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) >= 3
+    for line in scans:
+        assert "date#" in line.split("PartitionFilters: ")[1].split("PushedFilters")[0] and ">= 2025-02-01" in line
+    days = ("2025-02-01", "2025-02-31")
+    assert [len(jobs._of(spark, tables, n, "NFL", days=days).inputFiles()) for n in ("contests",)] and layout.month_bounds("2025-02-10", "2025-02-20") == days
+    assert rows(jobs._of(spark, tables, "lineups", "NFL", days=days), "date") == [("2025-02-01",)]
+
+
 def test_failed_run_is_not_recorded(spark, tmp_path, landed, monkeypatch):
     def broken(*_):
         raise RuntimeError("disk")

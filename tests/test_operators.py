@@ -38,7 +38,7 @@ def test_slots_there_and_back(spark):
 def test_slot_names_ignore_case(spark):
     df = spark.createDataFrame([({"CPT1": 1},), ({"flex1": 2, "cpt1": 3},)], "m map<string,int>")
     assert reshape.slot_names(df, "m") == ["cpt1", "flex1"]
-    got = df.select(*reshape.slots_from_map(F.col("m"), ["cpt1", "flex1"]))
+    got = reshape.with_slots(df, "m", ["cpt1", "flex1"])
     assert rows(got) == [(1, None), (3, 2)]
 
 
