@@ -245,11 +245,12 @@ def last_landed(placed: DataFrame, slots: Sequence[str]) -> DataFrame:
     before = [c for c in placed.columns if c not in ("_players", "_loaded", *LINEUP_JSON)]
     rows = with_slots(placed, "_players", slots)
     columns = [*before, *[f"pos_{s}" for s in slots], *[c for c in LINEUP_JSON]]
-    known = rows.where("lineup_hash IS NOT NULL").withColumn("_hash", F.xxhash64(*columns))
-    keys = [*_partition(placed, PARTITION), "contest_id", "lineup_hash"]
+    # a row without a hash is alone in its group
+    alone = F.when(F.col("lineup_hash").isNull(), F.monotonically_increasing_id())
+    hashed = rows.withColumns({"_alone": alone, "_hash": F.xxhash64(*columns)})
+    keys = [*_partition(placed, PARTITION), "contest_id", "lineup_hash", "_alone"]
     newest = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("_loaded"), F.desc("_hash"))
-    once = known.withColumn("_place", F.row_number().over(newest)).where("_place = 1")
-    return once.select(*columns).unionByName(rows.where("lineup_hash IS NULL").select(*columns))
+    return hashed.withColumn("_place", F.row_number().over(newest)).where("_place = 1").select(*columns)
 
 
 def line_label(position: Column, rank: Column) -> Column:
