@@ -11,6 +11,7 @@ from slatecraft.operators import quality
 from slatecraft.operators.keyed import symmetric_difference
 from slatecraft.plans import min_points, reports
 from slatecraft.plans.top_lineups import SINGLE_GAME_SLOTS
+from slatecraft.session import shared_folder
 
 R4 = "round(({0}) * 10000) / 10000"
 R6 = marts.R6
@@ -254,9 +255,43 @@ def dq1(spark, sf_dir):
     return quality.profile(t.table(spark, sf_dir, "orders"))
 
 
-@query("dq1_profile_sketches")
+_SKETCHED = {"l_orderkey": True, "l_partkey": True, "l_quantity": True, "l_extendedprice": True, "l_shipdate": False, "l_returnflag": False}
+
+
+@query(
+    "dq1_profile_sketches",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) AS row_count, count(DISTINCT {c}) AS distinct_values, true AS distinct_ok, true AS merged_ok, {'true' if number else 'CAST(NULL AS BOOLEAN)'} AS quartiles_ok FROM lineitem"
+        for c, number in _SKETCHED.items()
+    ),
+)
 def dq1_sketches(spark, sf_dir):
-    return quality.profile_sketches(t.table(spark, sf_dir, "lineitem"))
+    """Sketches stored by month and merged, held against exact values: all within the stated errors."""
+    rows = t.table(spark, sf_dir, "lineitem").select(*_SKETCHED)
+    path = shared_folder(spark, "sketches")
+    monthly = rows.withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    quality.sketches(monthly, ["month"]).write.parquet(path)
+    found = {r["column_name"]: r for r in quality.estimates(quality.merged(spark.read.parquet(path))).collect()}  # a row per column
+    whole = {r["column_name"]: r["approx_distinct"] for r in quality.profile_sketches(rows).collect()}
+    cells = []
+    for c, number in _SKETCHED.items():
+        distinct = F.count_distinct(c)
+        near = lambda a, b: F.abs(a - b) <= F.ceil(distinct * quality.DISTINCT_ERROR)  # noqa: B023, E731
+        within = F.lit(True) if number else F.lit(None).cast("boolean")
+        for label, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)) if number else ():
+            value, n = F.lit(found[c][label]), F.count(c)
+            within = within & (F.count_if(F.col(c) < value) <= n * (q + quality.RANK_ERROR)) & (F.count_if(F.col(c) <= value) >= n * (q - quality.RANK_ERROR))
+        cells.append(
+            F.struct(
+                F.lit(c).alias("column_name"),
+                F.lit(found[c]["row_count"]).cast("long").alias("row_count"),
+                distinct.alias("distinct_values"),
+                near(F.lit(found[c]["approx_distinct"]), distinct).alias("distinct_ok"),
+                near(F.lit(found[c]["approx_distinct"]), F.lit(whole[c])).alias("merged_ok"),
+                within.alias("quartiles_ok"),
+            )
+        )
+    return rows.agg(*[cell.alias(f"_{i}") for i, cell in enumerate(cells)]).select(F.inline(F.array(*[f"_{i}" for i in range(len(cells))])))
 
 
 @query(

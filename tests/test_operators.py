@@ -190,6 +190,24 @@ def test_profile_of_a_small_table(spark):
     assert sketches["n"]["approx_distinct"] == 2 and sketches["s"]["q50"] is None
 
 
+def test_sketches_by_day_merge_to_the_whole(spark):
+    """Within the stated errors of exact values, also for a column without numbers and one without values."""
+    n = 20_000
+    df = spark.range(n).select(
+        (F.col("id") % 10).cast("string").alias("day"), (F.col("id") * 7919 % n).alias("v"),
+        (F.col("id") % 501).cast("string").alias("s"), F.lit(None).cast("double").alias("none"),
+    )
+    stored = quality.sketches(df, ["day"])
+    assert stored.count() == 30
+    found = {r["column_name"]: r for r in quality.estimates(quality.merged(stored)).collect()}
+    assert all(r["row_count"] == n for r in found.values()) and found["none"]["missing"] == n
+    assert abs(found["v"]["approx_distinct"] - n) <= quality.DISTINCT_ERROR * n
+    assert abs(found["s"]["approx_distinct"] - 501) <= quality.DISTINCT_ERROR * 501
+    for label, q in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75)):
+        assert abs(found["v"][label] / n - q) <= quality.RANK_ERROR
+    assert found["s"]["q50"] is None and found["none"]["q50"] is None
+
+
 def test_profile_of_columns_with_similar_names(spark):
     df = spark.createDataFrame([(1, 2)], "a int, a_b int")
     assert {r["column_name"]: r["largest"] for r in quality.profile(df).collect()} == {"a": "1", "a_b": "2"}
