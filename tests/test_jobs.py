@@ -143,6 +143,51 @@ def test_refresh_today_and_skip_finished(spark):
     assert rows(got, "date") == [("2025-01-02",), ("2025-01-03",)]
 
 
+def days_of(spark, path):
+    return [r["date"] for r in ledger.read_ledger(spark, path).orderBy("date").collect()]
+
+
+def entry(spark, *days):
+    return spark.createDataFrame([("dds", "NFL", "t", d) for d in days], schemas.LEDGER)
+
+
+def test_two_runs_at_once_mark_each_date_once(spark, tmp_path, monkeypatch):
+    """The second run marks between the first one's reading and writing: the first must see it and add only the rest."""
+    path, create, calls = str(tmp_path / "ledger"), ledger._create, []
+
+    def late(session, where, name, found):
+        calls.append(name)
+        if len(calls) == 1:
+            assert create(session, where, name, entry(session, "2025-01-01", "2025-01-02").collect())
+        return create(session, where, name, found)
+
+    monkeypatch.setattr(ledger, "_create", late)
+    ledger.mark(spark, path, entry(spark, "2025-01-02", "2025-01-03"))
+    assert calls == ["0000000001.json", "0000000002.json"]
+    assert days_of(spark, path) == ["2025-01-01", "2025-01-02", "2025-01-03"]
+    assert (tmp_path / "ledger/0000000002.json").read_text().count("\n") == 1
+    assert not [p for p in (tmp_path / "ledger").iterdir() if not p.name.endswith((".json", ".crc"))]
+
+
+def test_many_runs_in_threads(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = str(tmp_path / "ledger")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda i: ledger.mark(spark, path, entry(spark, "2025-01-01", f"2025-02-{i + 1:02d}")), range(6)))
+    assert days_of(spark, path) == ["2025-01-01", *[f"2025-02-{i + 1:02d}" for i in range(6)]]
+
+
+def test_entries_are_summed_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ledger, "SUM_AFTER", 3)
+    path, days = str(tmp_path / "ledger"), [f"2025-01-{i:02d}" for i in range(1, 9)]
+    for i, day in enumerate(days):
+        ledger.mark(spark, path, entry(spark, day, days[0]))
+        assert days_of(spark, path) == days[: i + 1]
+    entries, sums = ledger._numbers(spark, path)
+    assert sums == [3, 6] and entries == [4, 5, 6, 7, 8]
+
+
 def test_month_folders():
     assert layout.month_patterns("2024-11-20", "2025-02-01") == ["2024-11-*", "2024-12-*", "2025-01-*", "2025-02-*"]
     assert layout.month_patterns("2025-02-01", "2025-02-20") == ["2025-02-*"]
