@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slatecraft.llm.frames import row_key, unused, whole_text, written
+from slatecraft.llm.urls import blocked_filter, possible
 
 WINDOWS = "array<struct<at:int,window:bigint>>"
 #: Stands before a capitalised word at a sentence start.
@@ -168,7 +169,11 @@ def leaks(
     hits = written(hits)
     pairs = hits.join(known, "window").groupBy("row_key", "item_key", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).agg(F.first("item_id").alias("item_id"), F.first("width").alias("width"), F.first("exact").alias("exact"), F.collect_set(F.struct("doc_at", "item_at")).alias("at"))
     raw, plain = canonical(F.col("text"))
-    hit_docs = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row_key"), F.col(doc_id).alias("doc_id"), whole_text(text).alias("text")).join(hits.select("row_key").distinct(), "row_key", "left_semi")
+    # a Bloom filter of the keys with hits: other texts stay where they are
+    keys = written(hits.select("row_key").distinct())
+    filter_, blocks = blocked_filter(keys, "row_key", keys.count())
+    hit_docs = docs.select(row_key(F.col(doc_id), F.col(text)).alias("row_key"), F.col(doc_id).alias("doc_id"), whole_text(text).alias("text"), filter_.scalar().alias("bits"))
+    hit_docs = hit_docs.where(possible(F.col("bits"), F.col("row_key"), blocks)).drop("bits").join(keys, "row_key", "left_semi")
     hit_docs = hit_docs.select("row_key", "doc_id", F.monotonically_increasing_id().alias("row"), raw.alias("doc_raw"), plain.alias("doc_plain"))
     items = benchmark.select(row_key(F.col(item_id), F.col(item_text)).alias("item_key"), whole_text(item_text).alias("text")).dropDuplicates(["item_key"])
     items = items.select("item_key", canonical(F.col("text"))[0].alias("item_raw"))
@@ -201,7 +206,16 @@ def _value(word: Column) -> Column:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The documents that leak no item, with all their columns."""
-    (key,) = unused(docs, "_key")
-    bad = leaks(docs, benchmark, doc_id=doc_id, text=text, **options).select(F.col("row_key").alias(key)).distinct()
-    return docs.withColumn(key, row_key(F.col(doc_id), F.col(text))).join(bad, key, "left_anti").select(*docs.columns)
+    """The documents that leak no item, with all their columns.
+
+    A Bloom filter of the leaking keys lets all other rows pass where they are; only possible hits are joined.
+    """
+    key, bits = unused(docs, "_key", "_bits")
+    bad = written(leaks(docs, benchmark, doc_id=doc_id, text=text, **options).select(F.col("row_key").alias("bad_key")).distinct())
+    filter_, blocks = blocked_filter(bad, "bad_key", bad.count())
+    keyed = docs.withColumn(key, row_key(F.col(doc_id), F.col(text))).withColumn(bits, filter_.scalar())
+    maybe = possible(F.col(bits), F.col(key), blocks)
+    names = docs.columns
+    clean = keyed.where(~maybe).select(*names)
+    checked = keyed.where(maybe).drop(bits)
+    return clean.unionByName(checked.join(bad, checked[key] == bad["bad_key"], "left_anti").select(*names))
