@@ -310,6 +310,7 @@ contests AS (
          CAST(c_nationkey * 10 AS INTEGER) AS multi_entry_max
   FROM customer)"""
 
+# fixed values: borders and names of the size tiers
 TIER_SQL = """CASE WHEN contest_size <= 318 THEN '1_Tiny' WHEN contest_size <= 4444 THEN '2_Small'
        WHEN contest_size <= 16646 THEN '3_Medium' WHEN contest_size <= 79270 THEN '4_Large'
        ELSE '5_Massive' END"""

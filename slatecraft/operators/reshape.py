@@ -69,12 +69,6 @@ def pivot_sum_cells(name: Column, values: Sequence[str], value: Column, suffix:
     return [F.sum(F.when(name == F.lit(v), value)).alias(f"{v}_{suffix}") for v in values]
 
 
-def pivot_sum(
-    long: DataFrame, keys: Sequence[str], name: str, values: Sequence[str], value: str, suffix: str
-) -> DataFrame:
-    return long.groupBy(*keys).agg(*pivot_sum_cells(F.col(name), values, F.col(value), suffix))
-
-
 def explode_map(df: DataFrame, keep: Sequence[str], entries: Column, key: str, value: str) -> DataFrame:
     """One row per map entry; rows with an empty or missing map disappear."""
     return df.select(*keep, F.explode(entries).alias(key, value))
