@@ -16,30 +16,35 @@ from __future__ import annotations
 
 import functools
 import os
-import re
-import sys
-from array import array
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from slatecraft.llm.frames import whole_text, written
 
-PIECES = "doc_id {}, piece int, start long, length int, ids binary, task int, task_rank long"
+PIECES = "doc_id long, piece int, start long, length int, ids binary, task int, task_rank long"
 #: Chunks between spaces whose ids a worker remembers in each of two generations.
-MEMO = 450_000
+MEMO = 300_000
+#: Text that is tokenised together, in bytes; a longer text is taken alone.
+TOGETHER = 2_000_000
+#: A space next to other white space, in any script.
+_MEETS = r" [\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 
 
 @functools.lru_cache(maxsize=2)
 def encoder(path: str):
-    """Texts to bytes of ids. Between two single spaces ids don't depend on what lies around, so chunks are remembered.
+    """Arrow texts to one array of ids and where each text's begin in it.
 
-    A worker keeps the memory for its next tasks, in two generations: what is asked for again moves to the young one,
-    and once that is full, the old one goes. Where white space meets a space, the whole text is encoded as it is.
+    Between two single spaces ids don't depend on what lies around. So the chunks between the spaces of many texts are
+    numbered first, each distinct one is looked up or encoded once, and the ids are gathered by number. A worker keeps
+    the memory for its next tasks, in two generations: what is asked for again moves to the young one, and once that
+    is full, the old one goes. Where white space meets a space, the whole text is encoded as it is.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -47,51 +52,119 @@ def encoder(path: str):
     tokenizer = Tokenizer.from_file(path)
     young: dict[str, bytes] = {}
     old: dict[str, bytes] = {}
-    meets = re.compile(r" \s|\s ")
-
-    def as_bytes(encoding) -> bytes:
-        ids = array("I", encoding.ids)
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
-
-    def encode(texts: list[str]) -> list[bytes]:
+    space = tokenizer.encode(" a", add_special_tokens=False).tokens[0][0]
+    words = tokenizer.get_vocab(with_added_tokens=True)
+    opens = np.zeros(max(words.values()) + 1, bool)
+    opens[[i for w, i in words.items() if w.startswith(space)]] = True
+
+    def encoded(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encoded_chunks(chunks: list[str]) -> list[bytes]:
+        """As one text; a chunk holds no space but the one before it, so its first id is the only one that opens with a space."""
+        if not chunks:
+            return []
+        ids = np.array(tokenizer.encode_batch_fast([" " + " ".join(chunks)], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(opens[ids])
+        if len(at) != len(chunks) or "" in chunks or at[0]:
+            return encoded([" " + c for c in chunks])
+        raw, at = ids.tobytes(), (np.append(at, len(ids)) * 4).tolist()
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
+    def of_chunks(chunks: list[str]) -> list[bytes]:
         nonlocal young, old
         if len(young) > MEMO:
             young, old = {}, young
-        split = [None if meets.search(t) else t.split(" ") for t in texts]
-        new = {c for s in split if s for c in s[1:]} - young.keys()
-        young.update((c, old[c]) for c in new & old.keys())
-        new = list(new - old.keys())
-        young.update(zip(new, map(as_bytes, tokenizer.encode_batch_fast([" " + c for c in new], add_special_tokens=False))))
-        heads = [s[0] if s else t for s, t in zip(split, texts)]
-        firsts = map(as_bytes, tokenizer.encode_batch_fast(heads, add_special_tokens=False))
-        return [b"".join([first, *map(young.__getitem__, s[1:])]) if s else first for s, first in zip(split, firsts)]
+        unknown = [c for c in chunks if c not in young]
+        young.update((c, old[c]) for c in unknown if c in old)
+        new = [c for c in unknown if c not in old]
+        for lo in range(0, len(new), 2000):
+            young.update(zip(new[lo : lo + 2000], encoded_chunks(new[lo : lo + 2000])))
+        return [young[c] for c in chunks]
+
+    def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        whole = pc.match_substring_regex(texts, _MEETS).to_numpy(zero_copy_only=False)
+        # a text that is taken whole is its first chunk and has no others
+        split = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        coded = split.flatten().dictionary_encode()
+        number = coded.indices.to_numpy().astype(np.int64)
+        bounds = np.append(0, np.cumsum(pc.list_value_length(split).to_numpy())).astype(np.int64)
+        at = bounds[:-1]
+        firsts = coded.take(pa.array(at)).cast(texts.type)
+        distinct = coded.dictionary.to_pylist()
+        tail = np.ones(len(number), bool)
+        tail[at] = False
+        used = np.unique(number[tail])
+        table = [b""] * len(distinct)
+        for i, ids in zip(used, of_chunks([distinct[i] for i in used])):
+            table[i] = ids
+        number[at] = len(distinct) + np.arange(len(texts))
+        table += encoded(pc.if_else(pa.array(whole), texts, firsts).to_pylist())
+        size = np.array([len(x) for x in table], np.int64) // 4
+        start = np.append(0, np.cumsum(size))
+        taken = size[number]
+        ends = np.append(0, np.cumsum(taken))
+        ids = np.frombuffer(b"".join(table), "<u4")[np.repeat(start[number] - ends[:-1], taken) + np.arange(ends[-1])]
+        return ids, ends[bounds]
 
     return encode
 
 
+def _together(texts: pa.Array):
+    """Ranges of rows with about ``TOGETHER`` bytes, one row at least."""
+    start = held = 0
+    for i, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if held and held + size > TOGETHER:
+            yield start, i
+            start = i
+            held = 0
+        held += size
+    if start < len(texts):
+        yield start, len(texts)
+
+
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, piece, start, length, ids, and the rank among the task's pieces of that length."""
 
     def cut(batches):
-        encode, seen, task = encoder(tokenizer), Counter(), TaskContext.get().partitionId()
-        end = end_id.to_bytes(4, "little")
+        encode, task = encoder(tokenizer), TaskContext.get().partitionId()
+        seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part, rows = batch.iloc[at : at + 256], []
-                for own, ids in zip(part["doc_id"], encode(part["text"].tolist())):
-                    ids += end
-                    total = len(ids) // 4
-                    first = total % capacity or capacity
-                    for k, stop in enumerate(range(first, total + 1, capacity)):
-                        start = max(0, stop - capacity) if k else 0
-                        rows.append((own, k, start, stop - start, ids[4 * start : 4 * stop], task, seen[stop - start]))
-                        seen[stop - start] += 1
-                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids", "task", "task_rank"]).astype({"doc_id": batch["doc_id"].dtype})
+            names, texts = batch.column(0), batch.column(1).cast(pa.large_string())
+            for a, b in _together(texts):
+                ids, begin = encode(texts[a:b])
+                ids = np.insert(ids, begin[1:], end_id).astype("<u4")
+                begin = begin + np.arange(len(begin))
+                total = np.diff(begin)
+                count = -(-total // capacity)
+                doc = np.repeat(np.arange(b - a), count)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count)
+                stop = total[doc] - (count[doc] - 1 - piece) * capacity
+                start = np.maximum(stop - capacity, 0)
+                length = stop - start
+                # rank among the pieces of one length: those of the task so far, then in order
+                order = np.argsort(length, kind="stable")
+                ordered = length[order]
+                new = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+                rank = np.empty(len(doc), np.int64)
+                rank[order] = np.arange(len(doc)) - np.repeat(new, np.diff(np.append(new, len(doc)))) + seen[ordered]
+                seen += np.bincount(length, minlength=capacity + 1)
+                bounds = np.append(begin[doc] + start, begin[-1]) * 4
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        names[a:b].take(pa.array(doc)),
+                        pa.array(piece.astype(np.int32)),
+                        pa.array(start),
+                        pa.array(length.astype(np.int32)),
+                        pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(bounds), pa.py_buffer(ids.tobytes())]).cast(pa.binary()),
+                        pa.array(np.full(len(doc), task, np.int32)),
+                        pa.array(rank),
+                    ],
+                    names=["doc_id", "piece", "start", "length", "ids", "task", "task_rank"],
+                )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), whole_text(text).alias("text"))
-    return rows.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(cut, PIECES.format("string")).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return rows.mapInArrow(cut, PIECES)
 
 
 def _compose(sizes: dict[int, int], capacity: int) -> list[tuple[int, list[int]]]:
@@ -124,7 +197,7 @@ def _compose(sizes: dict[int, int], capacity: int) -> list[tuple[int, list[int]]
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int, groups: int = 64, small: float = 0.125) -> list[tuple[int, list[tuple[int, int]]]]:
+def plan(histogram: dict[int, int], capacity: int, groups: int = 256, small: float = 0.25) -> list[tuple[int, list[tuple[int, int]]]]:
     """Stretches of equal sequences: (how many, [(length, times in each)]), from how many pieces have which length."""
     large = sorted((n, c) for n, c in histogram.items() if n > small * capacity)[::-1]
     total, group, queues, taken = sum(c for _, c in large), [], {}, 0
