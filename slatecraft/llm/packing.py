@@ -30,9 +30,9 @@ from slatecraft.llm.frames import whole_text, written
 
 PIECES = "doc_id long, piece int, start long, length int, ids binary, task int, task_rank long"
 #: Chunks between spaces whose ids a worker remembers in each of two generations.
-MEMO = 300_000
+MEMO = 600_000
 #: Text that is tokenised together, in bytes; a longer text is taken alone.
-TOGETHER = 2_000_000
+TOGETHER = 6_000_000
 #: A space next to other white space, in any script.
 _MEETS = r" [\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 
@@ -91,14 +91,8 @@ def encoder(path: str):
         bounds = np.append(0, np.cumsum(pc.list_value_length(split).to_numpy())).astype(np.int64)
         at = bounds[:-1]
         firsts = coded.take(pa.array(at)).cast(texts.type)
-        distinct = coded.dictionary.to_pylist()
-        tail = np.ones(len(number), bool)
-        tail[at] = False
-        used = np.unique(number[tail])
-        table = [b""] * len(distinct)
-        for i, ids in zip(used, of_chunks([distinct[i] for i in used])):
-            table[i] = ids
-        number[at] = len(distinct) + np.arange(len(texts))
+        table = of_chunks(coded.dictionary.to_pylist())
+        number[at] = len(table) + np.arange(len(texts))
         table += encoded(pc.if_else(pa.array(whole), texts, firsts).to_pylist())
         size = np.array([len(x) for x in table], np.int64) // 4
         start = np.append(0, np.cumsum(size))
