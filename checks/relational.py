@@ -233,7 +233,7 @@ SELECT l.lineup_hash, p.full_name, p.salary FROM lineups l JOIN players p ON p.p
 )
 def jn2(spark, sf_dir):
     captains = single_game(spark, sf_dir).select("lineup_hash", "date_id", F.col("pos_cpt1").alias("player_id"))
-    return captains.join(t.players(spark, sf_dir), ["player_id", "date_id"]).select("lineup_hash", "full_name", "salary")
+    return captains.join(t.players(spark, sf_dir).hint("merge"), ["player_id", "date_id"]).select("lineup_hash", "full_name", "salary")
 
 
 @query(
@@ -249,7 +249,7 @@ def jn3(spark, sf_dir):
     cells = reshape.unpivot_slots(single_game(spark, sf_dir), ["lineup_hash", "date_id"], SINGLE_GAME_SLOTS)
     cells = cells.withColumn("role", keyed.slot_role(F.col("pos_slot"), roles))
     players = t.players(spark, sf_dir, True).withColumn("role", keyed.player_role(F.col("roster_position"), roles))
-    return cells.join(players, ["player_id", "date_id", "role"]).select("lineup_hash", "pos_slot", "roster_position", "salary")
+    return cells.join(players.hint("merge"), ["player_id", "date_id", "role"]).select("lineup_hash", "pos_slot", "roster_position", "salary")
 
 
 @query(
