@@ -80,7 +80,7 @@ def exposure(
     known = distinct_on(players.select("player_id", "date_id", "position"), ["player_id", "date_id"])
     is_captain = F.col("slot") == f"pos_{captain}"
     used = (
-        cells.join(known, ["player_id", "date_id"])
+        cells.join(known.hint("merge"), ["player_id", "date_id"])  # as in top_lineups: never a table for the driver
         .groupBy(*key, "player_id", "position")
         .agg(F.count(F.lit(1)).alias("used"), F.sum(F.when(is_captain, 1)).alias("captained"))
         .join(entry_counts, key)
