@@ -79,7 +79,8 @@ def top_lineups(
         "current_team",
         "salary",
     )
-    joined = cells.join(roster, ["date_id", "player_id", "role"])
+    # merged, not broadcast: players made by exploding slates are far more than their files let expect
+    joined = cells.join(roster.hint("merge"), ["date_id", "player_id", "role"])
     attributes = {
         "player_id": F.col("player_id"),
         "real": F.col("position"),

@@ -99,3 +99,25 @@ def test_exposure_drops_other_contests_before_it_makes_lineups_distinct(spark, d
 def test_player_results_make_repeats_distinct_in_the_row(spark, data):
     plan = catalogue.QUERIES["doc14_player_results"](spark, data)._jdf.queryExecution().optimizedPlan().toString()
     assert "array_distinct" in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "jn2_two_keys", "jn3_role_join", "mrt1_top_lineups", "mrt1_captain", "mrt1_by_hash", "mrt3_complete", "mrt4_legacy", "mrt8_positions",
+        "mrt8_team_counts", "mrt18_captain_share", "mrt19_role_count", "mrt20_opponents", "agg11_ordered_lists", "rsh2_attributes_to_rows",
+        "rsh10_list_items", "rsh11_list_prefixes", "mrt15_exposure",
+    ],
+)
+def test_players_of_all_slates_are_never_broadcast(spark, data, name):
+    """Their files are small, the rows exploded from them are not."""
+    lines = plan_of(catalogue.QUERIES[name](spark, data)).splitlines()
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            deeper = lambda x: len(x) - len(x.lstrip(" :+-"))
+            below = []
+            for x in lines[i + 1 :]:
+                if deeper(x) <= deeper(line):
+                    break
+                below.append(x)
+            assert not any("Generate" in x for x in below)
