@@ -6,9 +6,10 @@ first. For what is left it is enough to know, per class and team of its event, t
 id: running sums in a window. The work is rows times classes (a few dozen, for the two teams of an event)
 instead of rows times rows.
 
-An event may hold any share of the table. Ids are therefore cut into ranges of ``2**bits``: first
-come pairs inside one range of one event, then the ranges are summed up and compared with each
-other one level higher, and so on. No window partition holds more ids than one range has.
+An event may hold any share of the table. In events of more than ``2**bits`` rows, counted first, ids are
+cut into ranges of ``2**bits``: first come pairs inside one range of one event, then the ranges are summed up and
+compared with each other one level higher, and so on. All other events are one range. No window partition holds
+more ids than one range has, and rows of ordinary events move once.
 
 Moments are kept as counts, sums and sums of squares of distances from the approximate median of the row's
 class, so merging them is adding. An outlier moves no median: large values close to each other keep their spread
@@ -31,6 +32,8 @@ OPPONENT = "opponent_team"
 BITS = 16
 #: Medians of at most so many classes are broadcast; more are joined.
 MANY_CLASSES = 10_000
+#: Rows of the input to a partition of events; each is repeated for every class and team of its event and then sorted.
+ROWS_PER_PARTITION = 100_000
 
 _SUMS = ("n", "known", "total", "squares")
 _PAIR = ["cls_1", "cls_2", "team_relationship"]
@@ -43,16 +46,27 @@ def _levels(low: int | None, high: int | None, bits: int) -> list[int]:
 
 
 def _medians(ids: DataFrame, classes: Sequence[str]) -> DataFrame:
-    """Per class its median value and range of ids, written once: a row per class."""
+    """Per class its median value, rows and range of ids, written once: a row per class."""
     folder = shared_folder(ids.sparkSession, "medians")
     ids.groupBy(*classes).agg(
         F.coalesce(F.percentile_approx("_value", 0.5, 1000), F.lit(0.0)).alias("_median"),
         F.min("_id").alias("_low"),
         F.max("_id").alias("_high"),
+        F.count(F.lit(1)).alias("_rows"),
     ).write.parquet(folder)
     return ids.sparkSession.read.parquet(folder)
 
 
+def _large_events(rows: DataFrame, event: str, bits: int) -> tuple[DataFrame, int]:
+    """Events of more rows than one range has, written once, and their number: at most one for ``2**bits`` rows."""
+    folder = shared_folder(rows.sparkSession, "events")
+    counted = rows.filter(F.col(event).isNotNull()).groupBy(F.col(event).alias("event")).agg(F.count(F.lit(1)).alias("_rows"))
+    counted.filter(F.col("_rows") > 2**bits).select("event").write.parquet(folder)
+    found = rows.sparkSession.read.parquet(folder)
+    number = found.count()
+    return F.broadcast(found) if number <= MANY_CLASSES else found, number
+
+
 def _summed(rows: DataFrame) -> DataFrame:
     """Moments by event, id, team and class: an id that repeats in an event is one row from here on."""
     value = F.col("value")
@@ -73,10 +87,10 @@ def _widened(atoms: DataFrame, bits: int) -> DataFrame:
     )
 
 
-def _inside_ranges(atoms: DataFrame, bits: int) -> DataFrame:
-    """Moments for the pairs whose ids share a range of the next size but differ at this one."""
-    groups = ["event", "_range"]
-    ranged = atoms.withColumn("_range", F.shiftright("id", bits))
+def _inside_ranges(ranged: DataFrame, partitions: int) -> DataFrame:
+    """Moments for the pairs whose ids share a range (or an event, where there are none) but differ at this level."""
+    groups = [c for c in ("event", "_range") if c in ranged.columns]
+    ranged = ranged.repartition(partitions, *groups)
     sides = F.collect_set(F.struct("cls", "team")).over(Window.partitionBy(*groups))
     placed = ranged.withColumn("_sides", sides).withColumn(
         "_own", F.array_position("_sides", F.struct("cls", "team")) - 1
@@ -146,13 +160,14 @@ def pair_moments(
     values, whose means, squared deviations and products are ``mean_i``, ``m2_i`` and ``products``; ``known_i``,
     ``all_mean_i`` and ``all_m2_i`` cover the pairs where side i is known. Counts are exact up to 2**53. Medians and the
     range of ids are looked up first; ``ids`` may name a cheaper frame that covers all ids and has like values and some
-    of the classes.
+    of the classes, and if it names events, all rows of each (or more).
     """
     listed = rows if ids is None else ids
     known = [c for c in classes if c in listed.columns]
     identified = listed.select(*known, F.col(entity).cast("long").alias("_id"), value.cast("double").alias("_value"))
     medians = _medians(identified, known)
-    low, high, found_classes = medians.agg(F.min("_low"), F.max("_high"), F.count(F.lit(1))).first()
+    low, high, found_classes, n = medians.agg(F.min("_low"), F.max("_high"), F.count(F.lit(1)), F.sum("_rows")).first()
+    partitions = max(8, (n or 0) // ROWS_PER_PARTITION)
     medians = medians.select(*[F.col(c).alias(f"_of_{c}") for c in known], "_median")
     # few dozens as a rule; rows are not dealt by class, as one class may hold most of them
     medians = F.broadcast(medians) if found_classes <= MANY_CLASSES else medians
@@ -161,16 +176,24 @@ def pair_moments(
     off = value.cast("double") - median
     measured = rows.filter(F.col(event).isNotNull() & F.col(entity).isNotNull()).join(medians, same, "left").select(
         F.col(event).alias("event"),
-        (F.col(entity).cast("long") - F.lit(low or 0)).alias("id"),
+        F.col(entity).cast("long").alias("id"),
         F.col(team).alias("team"),
         F.struct(*[F.col(c).alias(c) for c in classes], median.alias("_median")).alias("cls"),
         off.alias("value"),
     )
-    found, atoms = None, None
-    for _ in _levels(low, high, bits):
-        atoms = _summed(measured) if atoms is None else _widened(atoms, bits)
-        sums = _inside_ranges(atoms, bits)
-        found = sums if found is None else found.unionByName(sums)
+    # ids keep their name and value up to here: rows dealt by entity, event and team are summed where they lie
+    atoms = _summed(measured).withColumn("id", F.col("id") - F.lit(low or 0))
+    large, number = _large_events(listed if event in listed.columns else rows, event, bits)
+    if not number:
+        found = _inside_ranges(atoms, partitions)
+    else:
+        ranged = atoms.join(large.withColumn("_large", F.lit(True)), "event", "left")
+        ranged = ranged.withColumn("_range", F.when(F.col("_large"), F.shiftright("id", bits)).otherwise(F.lit(-1)))
+        found = _inside_ranges(ranged, partitions)
+        atoms = atoms.join(large, "event", "left_semi")
+        for _ in _levels(low, high, bits)[1:]:
+            atoms = _widened(atoms, bits)
+            found = found.unionByName(_inside_ranges(atoms.withColumn("_range", F.shiftright("id", bits)), partitions))
     ends = {c: F.min if "low" in c else F.max for c in found.columns if "low" in c or "high" in c}
     measures = [c for c in found.columns if c not in _PAIR]
     found = found.groupBy(*_PAIR).agg(*[ends.get(c, F.sum)(c).alias(c) for c in measures])

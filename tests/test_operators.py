@@ -1,4 +1,5 @@
 import random
+import re
 import statistics
 from collections import defaultdict
 
@@ -135,6 +136,18 @@ def test_pair_moments_match_all_pairs(spark, bits):
             assert r["products"] == pytest.approx(sum((a - mx) * (b - my) for a, b in known), rel=1e-9, abs=1e-8)
 
 
+def test_pair_moments_move_rows_of_ordinary_events_once(spark):
+    """However wide the ids are spread: rows go to their event, not to ranges of several levels."""
+    rows = [(e, (e * 7919 + k * 104729) % 2**40, k % 2, "A" if k < 2 else "B", float(e * k % 11)) for e in range(60) for k in range(4)]
+    df = spark.createDataFrame(rows, "e long, p long, t int, c string, x double").repartition(4, "p", "e", "t")
+    found = pairs.pair_moments(df, "e", "p", "t", ["c"], F.col("x"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    # dealt by the caller, dealt by event, sums by cell
+    assert len(re.findall("Exchange hashpartitioning", plan)) == 3
+    expected = brute_pairs([(e, p, t, c, x) for e, p, t, c, x in rows])
+    assert {(r["c_1"], r["c_2"], r["team_relationship"]): r["pairs"] for r in found.collect()} == {k: len(v) for k, v in expected.items()}
+
+
 def correlations_of(spark, data):
     df = spark.createDataFrame(data, "event_id int, player_id int, event_team_id int, position string, actual_points double")
     found = position_correlations(df.withColumn("proj_points", F.lit(1.0)), more_than=1)
