@@ -208,17 +208,24 @@ def src15(spark, sf_dir):
     return raw.read_csv_files(spark, [f"{path}/customer", f"{path}/supplier"], rows.schema)
 
 
+#: Events to a file of odds; a document has one at least.
+_EVENTS_PER_FILE = 10_000
+
+
 @query(
     "src16_odds_files",
     """SELECT user_id || '-' || event_type AS game_id, arg_min(value, (ts, event_id)) AS spread_open
 FROM events WHERE event_type <> 'error' GROUP BY user_id, event_type""",
 )
 def src16(spark, sf_dir):
-    """Files of one indented document each."""
+    """Files of one array of indented documents each; a file for every document would take longer than reading them."""
     path = shared_folder(spark, "src16")
     made = documents.raw_odds(spark, sf_dir)
     pretty = made.select(F.to_json(F.struct(*made.columns), {"pretty": "true"}).alias("value"))
-    pretty.write.option("maxRecordsPerFile", 1).text(path)
+    files = max(1, t.table(spark, sf_dir, "events").count() // _EVENTS_PER_FILE)
+    dealt = pretty.groupBy(F.pmod(F.xxhash64("value"), F.lit(files)).alias("file"))
+    listed = dealt.agg(F.concat(F.lit("["), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
+    listed.select("value").write.option("maxRecordsPerFile", 1).text(path)
     odds = raw.read_documents(spark, path, schemas.ODDS_RAW)
     return normalise.pregame_odds(odds).select("game_id", "spread_open")
 

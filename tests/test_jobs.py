@@ -331,3 +331,21 @@ def test_line_correlations_job(spark, tmp_path):
     jobs.line_correlations_job(spark, str(tmp_path / "dds"), str(tmp_path / "marts"), str(tmp_path / "lines"))
     got = one(spark.read.parquet(str(tmp_path / "marts/line_correlations/NHL")))
     assert (got["position_1"], got["line_2"], got["team_relationship"], got["sample_size"]) == ("W", "f1", "same_team", 60)
+
+
+def test_odds_files_hold_many_documents(spark, tmp_path, monkeypatch):
+    """As many files as a share of the events, none of one document each."""
+    from checks import storage
+
+    monkeypatch.setattr(storage, "shared_folder", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(storage, "_EVENTS_PER_FILE", 100, raising=False)
+    kinds = F.element_at(F.array(*map(F.lit, ("view", "click", "error"))), (F.col("id") % 3 + 1).cast("int"))
+    stamp = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id"))
+    events = spark.range(400).select(
+        F.col("id").alias("event_id"), stamp.alias("ts"), (F.col("id") % 50).alias("user_id"), kinds.alias("event_type"), F.col("id").cast("double").alias("value")
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    found = storage.src16(spark, str(tmp_path)).collect()
+    first = {f"{i % 50}-{('view', 'click', 'error')[i % 3]}": float(i) for i in reversed(range(400)) if i % 3 < 2}
+    assert {r["game_id"]: r["spread_open"] for r in found} == first and len(found) == len(first)
+    assert len(list((tmp_path / "src16").glob("*.txt"))) <= 4
