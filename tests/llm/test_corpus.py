@@ -170,6 +170,35 @@ def test_quality_sample_passes_over_a_long_text(spark):
     assert sorted(r["trusted_id"] for r in sample.collect()) == sorted(ids[1:])
 
 
+def test_quality_trains_on_the_whole_half(spark, monkeypatch):
+    """More documents and bytes than a sample would hold: all of the half count, and the others are judged."""
+    monkeypatch.setattr(quality, "SAMPLE_DOCS", 3)
+    monkeypatch.setattr(quality, "SAMPLE_BYTES", 50)
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 700)
+    texts = [f"Text number {i} of those that a good hand wrote." for i in range(60)] + [None, "", "zq" * 40]
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    scores, _, model = quality.classify(docs(spark, *texts), labels)
+    half = [r[0] for r in spark.range(60).where("pmod(xxhash64(id, 3), 2) = 0").collect()]
+    raw = Counter()
+    for i in half:
+        padded = b"\0" * 5 + texts[i].encode() + b"\xff"
+        raw.update(int.from_bytes(padded[k : k + 6], "big") for k in range(len(padded) - 5))
+    tables = [(dict(g.collect()), dict(c.collect())) for g, c in model]
+    assert tables[0][0].keys() == raw.keys()
+    for r in scores.collect():
+        padded, total = b"\0" * 5 + (texts[r["doc_id"]] or "").encode() + b"\xff", 0.0
+        for k in range(len(padded) - 5):
+            for j, (grams, contexts) in zip(range(6, 0, -1), tables):
+                key = int.from_bytes(padded[k + 6 - j : k + 6], "big")
+                if key in grams:
+                    total += grams[key]
+                    break
+                total += contexts.get(key >> 8, 0.0)
+            else:
+                total -= math.log(256)
+        assert math.isclose(r["loss"], -total, rel_tol=1e-9) and r["bytes"] == len(padded) - 5
+
+
 def test_extraction_keeps_short_stretches_without_an_article():
     long = "Words of a long paragraph. " * 20
     page = f"<body><div><a href=a>Home</a> <a href=b>News</a> <a href=c>About</a></div><br><div></div><div></div><div></div><h2><a href=x>One</a></h2>{f'<p>{long}</p>' * 3}<div class=ad>no</div><p>He left.</p></body>"
