@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,14 +40,11 @@ def windows(rows: DataFrame) -> DataFrame:
     """block, key or word, n: distinct windows and words of each block and how often training documents have them."""
 
     def distinct(key, group):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        block = key[0].as_py()
+        block = int(key[0])
         grams: dict[bool, list] = {True: [], False: []}
         words: dict[bool, Counter] = {True: Counter(), False: Counter()}
         for train in (True, False):
-            part = group.filter(pc.not_equal(group.column("held_out"), train)).column("text").to_pylist()
+            part = group["text"][group["held_out"] != train]
             for run in chunks([t.encode("utf-8", "surrogatepass").lower() for t in part]):
                 grams[train].append(np.unique(keys(run, DEPTH + 1)[0], return_counts=True))
                 for t in run:
@@ -58,15 +56,15 @@ def windows(rows: DataFrame) -> DataFrame:
         b, _ = _summed(grams[False])
         rest = np.setdiff1d(b, a, assume_unique=True)
         new = words[False].keys() - words[True].keys()
-        # Arrow, not pandas: a block has millions of windows, and a pandas column with nulls holds them several times
-        spelled = [*words[True], *new]
-        made = [
-            (pa.array(np.concatenate([a, rest]), pa.int64()), pa.nulls(len(a) + len(rest), pa.binary()), pa.array(np.concatenate([n, np.zeros(len(rest), np.int64)]), pa.int64())),
-            (pa.nulls(len(spelled), pa.int64()), pa.array(spelled, pa.binary()), pa.array([*words[True].values(), *[0] * len(new)], pa.int64())),
-        ]
-        return pa.concat_tables([pa.table({"block": pa.array(np.full(len(k), block, np.int32)), "key": k, "word": w, "n": c}) for k, w, c in made])
+        return pd.concat(
+            [
+                pd.DataFrame({"block": block, "key": pd.array(np.concatenate([a, rest]), "Int64"), "word": None, "n": np.concatenate([n, np.zeros(len(rest), np.int64)])}),
+                pd.DataFrame({"block": block, "key": pd.array([pd.NA] * (len(words[True]) + len(new)), "Int64"), "word": [*words[True], *new], "n": [*words[True].values(), *[0] * len(new)]}),
+            ],
+            ignore_index=True,
+        )
 
-    return rows.groupBy("block").applyInArrow(distinct, "block int, key long, word binary, n long")
+    return rows.groupBy("block").applyInPandas(distinct, "block int, key long, word binary, n long")
 
 
 def _summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -125,37 +123,34 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def add_up(texts, found):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-
-        grams = found.select(["key", "lp"]).filter(pc.is_valid(found.column("key")))
-        key, values = (grams.column(c).to_numpy() for c in ("key", "lp"))
-        order = np.argsort(key)
-        table, values = Lookup(key[order]), values[order]
-        own = found.select(["word", "c"]).filter(pc.is_valid(found.column("word")))
-        count = dict(zip(own.column("word").to_pylist(), own.column("c").to_pylist()))
+        grams = found[["key", "lp"]][found["key"].notna()].sort_values("key")
+        table = Lookup(grams["key"].to_numpy(np.int64))
+        values = grams["lp"].to_numpy()
+        own = found[["word", "c"]][found["word"].notna()]
+        count = dict(zip(own["word"], own["c"].to_numpy(np.int64).tolist()))
         base = {w: np.log10((c + 0.5) / (tokens + 0.5 * (kinds + 1))) for w, c in count.items()}
         end = END_WORD.encode()
-        n_tokens, n_known, base_score, scores = [], [], [], [np.empty(0)]
-        for run in chunks([t.encode("utf-8", "surrogatepass").lower() for t in texts.column("text").to_pylist()]):
-            wanted, lengths = keys(run, DEPTH + 1)
-            scores.append(by_text(values[table.at(wanted)], lengths))
-            for t in run:
-                split = [*t.split(), end]
-                n_tokens.append(len(split))
-                n_known.append(sum(count[x] > 0 for x in split))
-                base_score.append(float(sum(map(base.__getitem__, split))))
-        return pa.table(
-            {
-                "doc_id": texts.column("doc_id"),
-                "held_out": texts.column("held_out"),
-                "n_tokens": pa.array(n_tokens, pa.int64()),
-                "n_known": pa.array(n_known, pa.int64()),
-                "base_score": pa.array(base_score, pa.float64()),
-                "score": pa.array(np.concatenate(scores), pa.float64()),
-            }
-        )
+        out, at = [], 0
+        for run in chunks([t.encode("utf-8", "surrogatepass").lower() for t in texts["text"]]):
+            key, lengths = keys(run, DEPTH + 1)
+            scores = by_text(values[table.at(key)], lengths)
+            part = texts.iloc[at : at + len(run)]
+            at += len(run)
+            split = [[*t.split(), end] for t in run]
+            out.append(
+                pd.DataFrame(
+                    {
+                        "doc_id": part["doc_id"].to_numpy(),
+                        "held_out": part["held_out"].to_numpy(),
+                        "n_tokens": [len(w) for w in split],
+                        "n_known": [sum(count[x] > 0 for x in w) for w in split],
+                        "base_score": [float(sum(map(base.__getitem__, w))) for w in split],
+                        "score": scores,
+                    }
+                )
+            )
+        return pd.concat(out) if out else pd.DataFrame({"doc_id": [], "held_out": [], "n_tokens": [], "n_known": [], "base_score": [], "score": []})
 
     texts = rows.select("block", F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text")
-    found = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(add_up, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    found = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add_up, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return found.select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
