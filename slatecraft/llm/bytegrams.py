@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
+from pyspark.sql import DataFrame
 
 #: Ends a text; never occurs in UTF-8. Zero bytes stand before it.
 END = b"\xff"
 #: Bytes of texts worked on at a time (a longer text is worked on alone).
 CHUNK = 1 << 20
+#: Rows that a task packs at a time.
+PACK_ROWS = 1 << 20
+
+
+def encoded(column) -> Iterator[bytes]:
+    """The bytes of the texts of an Arrow column, one at a time; null is empty."""
+    return ((t.as_py() or "").encode("utf-8", "surrogatepass") for t in column)
 
 
-def chunks(texts: list[bytes]):
+def chunks(texts: Iterable[bytes]):
     """Runs of texts of about CHUNK bytes."""
     run, size = [], 0
     for text in texts:
@@ -67,3 +77,71 @@ class Lookup:
             place = np.minimum(np.searchsorted(self.keys, rest), len(self.keys) - 1)
             found[wrong] = np.where(self.keys[place] == rest, place, -1)
         return found
+
+
+def tables(batches):
+    """Arrow batches, as tables of about PACK_ROWS."""
+    import pyarrow as pa
+
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= PACK_ROWS:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def squeezed(values: np.ndarray) -> bytes:
+    """Numbers of 8 bytes, first bytes first: like bytes lie together and take little room."""
+    import pyarrow as pa
+
+    return pa.compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T).tobytes(), codec="zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes, n: int, kind: type) -> np.ndarray:
+    import pyarrow as pa
+
+    raw = pa.decompress(data, decompressed_size=8 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view(kind).ravel()
+
+
+def packed(answers: DataFrame) -> DataFrame:
+    """block, n, keys, numbers: block, key and lp of each task as a row for each of its blocks, by key, compressed.
+
+    Millions of answers to a block are then some hundred rows to sort, move and hand over.
+    """
+
+    def pack(batches):
+        import pyarrow as pa
+
+        for table in tables(batches):
+            block, key, lp = (table.column(c).to_numpy() for c in ("block", "key", "lp"))
+            order = np.lexsort((key, block))
+            block, key, lp = block[order], key[order], lp[order]
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
+            ends = np.append(starts[1:], len(block))
+            yield pa.record_batch(
+                {
+                    "block": pa.array(block[starts]),
+                    "n": pa.array(ends - starts, pa.int64()),
+                    "keys": pa.array([squeezed(np.diff(key[i:j], prepend=0)) for i, j in zip(starts, ends)], pa.binary()),
+                    "numbers": pa.array([squeezed(lp[i:j]) for i, j in zip(starts, ends)], pa.binary()),
+                }
+            )
+
+    kind = answers.schema["block"].dataType.simpleString()
+    return answers.select("block", "key", "lp").mapInArrow(pack, f"block {kind}, n long, keys binary, numbers binary")
+
+
+def unpacked(found) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, sorted, and their lp from packed rows (an Arrow table)."""
+    key, lp = [np.empty(0, np.int64)], [np.empty(0)]
+    for n, k, v in zip(*(found.column(c).to_pylist() for c in ("n", "keys", "numbers"))):
+        key.append(np.cumsum(unsqueezed(k, n, np.int64)))
+        lp.append(unsqueezed(v, n, np.float64))
+    key = np.concatenate(key)
+    order = np.argsort(key)
+    return key[order], np.concatenate(lp)[order]

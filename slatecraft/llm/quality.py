@@ -2,7 +2,7 @@
 
 Every other trusted document, by a hash of its id, trains the model, whole; the others give the thresholds. Counts,
 continuation counts, discounts, context totals and the scores of windows are tables sharded by n-gram: blocks of documents
-hand in their distinct windows, joins answer them, and each block adds up its documents. No table of the model is held
+hand in their distinct windows, joins answer them, the answers go back packed, and each block adds up its documents. No table of the model is held
 as a whole anywhere. The threshold of a language is a quantile of the scores of all its trusted documents outside
 the training half; with fewer than ``LEAST_HELD`` of these it is at least the quantile over all languages, and at least the
 language's mean and the quantile of distances from the means of all; languages without any use the largest threshold. Documents above it are rejected.
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slatecraft.llm.bytegrams import Lookup, by_text, chunks, keys
+from slatecraft.llm.bytegrams import Lookup, by_text, chunks, encoded, keys, packed, unpacked
 from slatecraft.llm.frames import unused, whole_text, written
 
 WIDTH = 6
@@ -109,7 +109,7 @@ def windows(rows: DataFrame, block: str, text: str, width: int) -> DataFrame:
         import pyarrow as pa
 
         parts = []
-        for run in chunks([(t or "").encode("utf-8", "surrogatepass") for t in group.column(text).to_pylist()]):
+        for run in chunks(encoded(group.column(text))):
             parts.append(np.unique(keys(run, width)[0]))
             if len(parts) > 8:
                 parts = [np.unique(np.concatenate(parts))]
@@ -143,16 +143,15 @@ def scored(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]], text: str
     plain = [F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, T.AtomicType)]
     rows = docs.withColumn(block, F.pmod(F.xxhash64(*plain), F.lit(max(1, -(-total // BLOCK_BYTES)))))
     asked = written(windows(rows, block, text, width))
-    answers = asked.join(window_scores(asked.select("key").distinct(), model).hint("merge"), "key")
+    answers = packed(asked.join(window_scores(asked.select("key").distinct(), model).hint("merge"), "key"))
 
     def add_up(texts, found):
         import pyarrow as pa
 
-        key, lp = (found.column(c).to_numpy() for c in ("key", "lp"))
-        order = np.argsort(key)
-        table, lp = Lookup(key[order]), lp[order]
+        key, lp = unpacked(found)
+        table = Lookup(key)
         values, sizes = [], []
-        for run in chunks([(t or "").encode("utf-8", "surrogatepass") for t in texts.column(text).to_pylist()]):
+        for run in chunks(encoded(texts.column(text))):
             wanted, lengths = keys(run, width)
             values.append(-by_text(lp[table.at(wanted)], lengths))
             sizes.append(lengths)
