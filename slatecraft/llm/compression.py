@@ -4,7 +4,7 @@ A pretrained static trie of byte contexts: each context knows the bytes seen aft
 longest context; where it is new there, an escape (method C: as many chances as distinct bytes seen) leads to
 the next shorter context, whose bytes already excluded no longer count; at last all bytes not yet seen are alike.
 The trie is a set of tables sharded by context. All work is on distinct windows of bytes: blocks of documents
-hand in their distinct windows and words, joins answer them, and each block adds up its documents.
+hand in their distinct windows and words, joins answer them, the answers go back packed, and each block adds up its documents.
 
 A token is a word or the end. Texts have A-Z lower-cased. Null texts are empty; null ids count as empty texts in the split. Repeated rows are scored and counted each. Without training
 documents bytes are alike. No rows give none; only id and text are read.
@@ -15,11 +15,10 @@ from __future__ import annotations
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from slatecraft.llm.bytegrams import Lookup, by_text, chunks, keys
+from slatecraft.llm.bytegrams import Lookup, by_text, chunks, encoded, keys, packed, squeezed, tables, unpacked, unsqueezed
 from slatecraft.llm.frames import whole_text, written
 
 #: Bytes of context.
@@ -40,12 +39,15 @@ def windows(rows: DataFrame) -> DataFrame:
     """block, key or word, n: distinct windows and words of each block and how often training documents have them."""
 
     def distinct(key, group):
-        block = int(key[0])
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        block = key[0].as_py()
         grams: dict[bool, list] = {True: [], False: []}
         words: dict[bool, Counter] = {True: Counter(), False: Counter()}
         for train in (True, False):
-            part = group["text"][group["held_out"] != train]
-            for run in chunks([t.encode("utf-8", "surrogatepass").lower() for t in part]):
+            part = group.filter(pc.not_equal(group.column("held_out"), train)).column("text")
+            for run in chunks(t.lower() for t in encoded(part)):
                 grams[train].append(np.unique(keys(run, DEPTH + 1)[0], return_counts=True))
                 for t in run:
                     words[train].update(t.split())
@@ -56,15 +58,39 @@ def windows(rows: DataFrame) -> DataFrame:
         b, _ = _summed(grams[False])
         rest = np.setdiff1d(b, a, assume_unique=True)
         new = words[False].keys() - words[True].keys()
-        return pd.concat(
-            [
-                pd.DataFrame({"block": block, "key": pd.array(np.concatenate([a, rest]), "Int64"), "word": None, "n": np.concatenate([n, np.zeros(len(rest), np.int64)])}),
-                pd.DataFrame({"block": block, "key": pd.array([pd.NA] * (len(words[True]) + len(new)), "Int64"), "word": [*words[True], *new], "n": [*words[True].values(), *[0] * len(new)]}),
-            ],
-            ignore_index=True,
-        )
+        # Arrow, not pandas: a block has millions of windows, and a pandas column with nulls holds them several times
+        spelled = [*words[True], *new]
+        made = [
+            (pa.array(np.concatenate([a, rest]), pa.int64()), pa.nulls(len(a) + len(rest), pa.binary()), pa.array(np.concatenate([n, np.zeros(len(rest), np.int64)]), pa.int64())),
+            (pa.nulls(len(spelled), pa.int64()), pa.array(spelled, pa.binary()), pa.array([*words[True].values(), *[0] * len(new)], pa.int64())),
+        ]
+        return pa.concat_tables([pa.table({"block": pa.array(np.full(len(k), block, np.int32)), "key": k, "word": w, "n": c}) for k, w, c in made])
+
+    return rows.groupBy("block").applyInArrow(distinct, "block int, key long, word binary, n long")
+
+
+def packed_words(answers: DataFrame) -> DataFrame:
+    """block, n, words, numbers: block, word and c of each task as a row for each of its blocks, with spaces between the words."""
+
+    def pack(batches):
+        import pyarrow as pa
+
+        for table in tables(batches):
+            block, c = (table.column(x).to_numpy() for x in ("block", "c"))
+            order = np.argsort(block, kind="stable")
+            table, block, c = table.take(pa.array(order)), block[order], c[order]
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
+            ends = np.append(starts[1:], len(block))
+            yield pa.record_batch(
+                {
+                    "block": pa.array(block[starts]),
+                    "n": pa.array(ends - starts, pa.int64()),
+                    "words": pa.array([b" ".join(table.column("word")[i:j].to_pylist()) for i, j in zip(starts, ends)], pa.binary()),
+                    "numbers": pa.array([squeezed(c[i:j]) for i, j in zip(starts, ends)], pa.binary()),
+                }
+            )
 
-    return rows.groupBy("block").applyInPandas(distinct, "block int, key long, word binary, n long")
+    return answers.select("block", "word", "c").mapInArrow(pack, "block int, n long, words binary, numbers binary")
 
 
 def _summed(parts: list) -> tuple[np.ndarray, np.ndarray]:
@@ -116,41 +142,42 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", folds: in
     total = words.agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).first()
     tokens, kinds = total["n"] or 0, total["v"] or 0
     lp = gram_scores(written(asked.where("key IS NOT NULL").groupBy("key").agg(F.sum("n").alias("n"))))
-    answers = (
-        asked.where("key IS NOT NULL").select("block", "key").join(lp, "key").select("block", "key", "lp", F.lit(None).cast("binary").alias("word"), F.lit(None).cast("long").alias("c"))
-        .union(asked.where("word IS NOT NULL").select("block", "word").join(words, "word").select("block", F.lit(None).cast("long"), F.lit(None).cast("double"), "word", "c"))
-    )
+    answers = packed(asked.where("key IS NOT NULL").select("block", "key").join(lp, "key")).withColumn("words", F.lit(None).cast("binary"))
+    answers = answers.unionByName(packed_words(asked.where("word IS NOT NULL").select("block", "word").join(words, "word")), allowMissingColumns=True)
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def add_up(texts, found):
-        grams = found[["key", "lp"]][found["key"].notna()].sort_values("key")
-        table = Lookup(grams["key"].to_numpy(np.int64))
-        values = grams["lp"].to_numpy()
-        own = found[["word", "c"]][found["word"].notna()]
-        count = dict(zip(own["word"], own["c"].to_numpy(np.int64).tolist()))
-        base = {w: np.log10((c + 0.5) / (tokens + 0.5 * (kinds + 1))) for w, c in count.items()}
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        own = pc.is_valid(found.column("words"))
+        key, values = unpacked(found.filter(pc.invert(own)))
+        table = Lookup(key)
+        count = {}
+        for spelled, n, numbers in zip(*(found.filter(own).column(c).to_pylist() for c in ("words", "n", "numbers"))):
+            count.update(zip(spelled.split(b" "), unsqueezed(numbers, n, np.int64).tolist()))
+        base = {c: np.log10((c + 0.5) / (tokens + 0.5 * (kinds + 1))) for c in set(count.values())}
         end = END_WORD.encode()
-        out, at = [], 0
-        for run in chunks([t.encode("utf-8", "surrogatepass").lower() for t in texts["text"]]):
-            key, lengths = keys(run, DEPTH + 1)
-            scores = by_text(values[table.at(key)], lengths)
-            part = texts.iloc[at : at + len(run)]
-            at += len(run)
-            split = [[*t.split(), end] for t in run]
-            out.append(
-                pd.DataFrame(
-                    {
-                        "doc_id": part["doc_id"].to_numpy(),
-                        "held_out": part["held_out"].to_numpy(),
-                        "n_tokens": [len(w) for w in split],
-                        "n_known": [sum(count[x] > 0 for x in w) for w in split],
-                        "base_score": [float(sum(map(base.__getitem__, w))) for w in split],
-                        "score": scores,
-                    }
-                )
-            )
-        return pd.concat(out) if out else pd.DataFrame({"doc_id": [], "held_out": [], "n_tokens": [], "n_known": [], "base_score": [], "score": []})
+        n_tokens, n_known, base_score, scores = [], [], [], [np.empty(0)]
+        for run in chunks(t.lower() for t in encoded(texts.column("text"))):
+            wanted, lengths = keys(run, DEPTH + 1)
+            scores.append(by_text(values[table.at(wanted)], lengths))
+            for t in run:
+                seen = [count[w] for w in (*t.split(), end)]
+                n_tokens.append(len(seen))
+                n_known.append(sum(c > 0 for c in seen))
+                base_score.append(float(sum(map(base.__getitem__, seen))))
+        return pa.table(
+            {
+                "doc_id": texts.column("doc_id"),
+                "held_out": texts.column("held_out"),
+                "n_tokens": pa.array(n_tokens, pa.int64()),
+                "n_known": pa.array(n_known, pa.int64()),
+                "base_score": pa.array(base_score, pa.float64()),
+                "score": pa.array(np.concatenate(scores), pa.float64(), from_pandas=True),
+            }
+        )
 
     texts = rows.select("block", F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text")
-    found = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(add_up, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    found = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(add_up, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return found.select(F.col("doc_id").cast(kind).alias("doc_id"), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
 from checks.compare import connect, difference  # noqa: E402
-from slatecraft.llm import chat, compression, decontamination, extraction, jaccard, licences, packing, pivots, quality, queries, secrets  # noqa: E402
+from slatecraft.llm import bytegrams, chat, compression, decontamination, extraction, jaccard, licences, packing, pivots, quality, queries, secrets  # noqa: E402
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, row_key string"
 
@@ -345,3 +345,28 @@ def test_stages_keep_columns_of_any_name(spark, data):
         assert made.columns == table.columns
         assert sorted(r["doc_id"] for r in made.collect()) == [0, 1, 2]
         assert {tuple(r[n] for n in names) for r in made.collect()} == {tuple(names)}
+
+
+def test_answers_go_back_to_blocks_packed(spark, data):
+    """Rows of single windows and words, sorted and handed over by the million, took an executor's memory."""
+    table = docs(spark, "One two.", None, "", "one ä")
+    found = compression.score(table)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "InPandas" not in plan and plan.count("MapInArrow") == 2
+    assert {r["doc_id"]: r["n_tokens"] for r in found.collect()} == {0: 3, 1: 1, 2: 1, 3: 3}
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(4)], "doc_id long, quality int, toxic int")
+    scored = quality.scored(table, quality.fit(table, labels, "doc_id", "text")[2])
+    assert "MapInArrow" in scored._jdf.queryExecution().executedPlan().toString()
+
+
+def test_packed_answers_come_out_as_they_went_in(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    rows = [(b, k * (b + 1) - 5, None if k == 3 else -k / 7) for b in range(3) for k in (7, 3, 0, 1 << 40)]
+    made = bytegrams.packed(spark.createDataFrame(rows, "block int, key long, lp double").repartition(2)).toPandas()
+    for b in range(3):
+        key, lp = bytegrams.unpacked(pa.Table.from_pandas(made[made["block"] == b]))
+        wanted = sorted((k, v) for x, k, v in rows if x == b)
+        assert key.tolist() == [k for k, _ in wanted]
+        np.testing.assert_array_equal(lp, np.array([v for _, v in wanted], float))
