@@ -54,6 +54,12 @@ def by_text(values: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, np.concatenate([[0], np.cumsum(lengths)[:-1]])) if len(lengths) else np.zeros(0)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """As ``np.unique``, which hashes: sorting whole numbers takes a sixth of its time."""
+    values = np.sort(values)
+    return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
+
+
 class Lookup:
     """From sorted integers to values; ``at`` gives positions, -1 where there is none."""
 
@@ -108,6 +114,23 @@ def unsqueezed(data: bytes, n: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, n).T).view(kind).ravel()
 
 
+def stored(rows) -> bytes:
+    """An Arrow batch as compressed bytes."""
+    import pyarrow as pa
+
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
+        out.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def restored(data: bytes):
+    """The batch, as a table."""
+    import pyarrow as pa
+
+    return pa.ipc.open_stream(data).read_all()
+
+
 def packed(answers: DataFrame) -> DataFrame:
     """block, n, keys, numbers: block, key and lp of each task as a row for each of its blocks, by key, compressed.
 
