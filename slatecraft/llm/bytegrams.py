@@ -119,7 +119,7 @@ def stored(rows) -> bytes:
     import pyarrow as pa
 
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))) as out:
+    with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 6))) as out:
         out.write_batch(rows)
     return sink.getvalue().to_pybytes()
 

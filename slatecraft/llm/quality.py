@@ -163,7 +163,8 @@ def window_scores(asked: DataFrame, model: list[tuple[DataFrame, DataFrame]]) ->
     open_, out = asked.select("key", F.lit(0.0).alias("lp")), None
     for j, (grams, contexts) in zip(range(len(model), 0, -1), model):
         hint = "merge" if j > SMALL_ORDERS else "broadcast"
-        short = F.col("key").bitwiseAND((1 << 8 * j) - 1)
+        # windows are as wide as the longest n-grams: these are looked up by key, which the windows lie by already
+        short = F.col("key") if j == len(model) else F.col("key").bitwiseAND((1 << 8 * j) - 1)
         here = written(open_.withColumn("short", short).join(grams.select(F.col("key").alias("short"), "v").hint(hint), "short", "left").select("key", "lp", "v"))
         done = here.where("v IS NOT NULL").select("key", (F.col("lp") + F.col("v").cast("double")).alias("lp"))
         out = done if out is None else out.union(done)
@@ -220,7 +221,7 @@ def thresholds_of(scores: DataFrame, trusted: DataFrame, training: DataFrame, qu
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame, list[tuple[DataFrame, DataFrame]]]:
     """Ids of the trusted documents, the training half and the model."""
     trusted = written(trusted_ids(labels))
-    training = written(training_of(docs, trusted, doc_id, text))
+    training = training_of(docs, trusted, doc_id, text)  # texts are read from it once, later its ids alone
     return trusted, training, train(training)
 
 

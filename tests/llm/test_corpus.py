@@ -370,3 +370,18 @@ def test_packed_answers_come_out_as_they_went_in(spark):
         wanted = sorted((k, v) for x, k, v in rows if x == b)
         assert key.tolist() == [k for k, _ in wanted]
         np.testing.assert_array_equal(lp, np.array([v for _, v in wanted], float))
+
+
+def test_quality_moves_no_texts(spark, data, tmp_path, monkeypatch):
+    """Texts went through two shuffles and a written copy of all rows; of repeated rows in small blocks each is still judged."""
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 300)
+    rows = [(i % 40, "plain words about the weather and the sea " * (1 + i % 3), "en", i) for i in range(60)]
+    rows += [(100 + i, "qxzä 7%" * 20, None, 100 + i) for i in range(5)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, n int").repartition(4).write.parquet(f"{tmp_path}/docs")
+    table = spark.read.parquet(f"{tmp_path}/docs")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    kept = quality.keep(table, labels)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "text:string" not in plan and "Bucketed: true" in plan
+    assert sorted(r["n"] for r in kept.collect()) == list(range(60))
+    assert not spark.catalog.listTables() or not any("bucketed_" in t.name for t in spark.catalog.listTables())
