@@ -13,6 +13,8 @@ END = b"\xff"
 CHUNK = 1 << 20
 #: Rows that a task packs at a time.
 PACK_ROWS = 1 << 20
+#: Of the generator that deals keys to shards; its products stay below 64 bits.
+MODULUS, FACTOR = (1 << 31) - 1, 48_271
 
 
 def encoded(column) -> Iterator[bytes]:
@@ -60,6 +62,20 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return values[np.append(True, values[1:] != values[:-1])] if len(values) else values
 
 
+def shard(key, number: int):
+    """The shard of a key that is not negative, the same for a Spark column and for an array."""
+    return key % MODULUS * FACTOR % MODULUS % number
+
+
+def dealt(key: np.ndarray, number: int) -> list[tuple[int, np.ndarray]]:
+    """The shards that the keys fall into, and the positions of their keys, ascending."""
+    own = shard(key, number)
+    order = np.argsort(own, kind="stable")
+    own = own[order]
+    starts = np.flatnonzero(np.diff(own, prepend=-1))
+    return list(zip(own[starts].tolist(), np.split(order, starts[1:])))
+
+
 class Lookup:
     """From sorted integers to values; ``at`` gives positions, -1 where there is none."""
 

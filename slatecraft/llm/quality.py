@@ -2,8 +2,8 @@
 
 Every other trusted document, by a hash of its id, trains the model, whole; the others give the thresholds. Counts,
 continuation counts, discounts, context totals and the scores of windows are tables sharded by n-gram: blocks of documents
-hand in their distinct windows, joins answer them, the answers go back packed, and each block adds up its documents. No table of the model is held
-as a whole anywhere. The threshold of a language is a quantile of the scores of all its trusted documents outside
+hand in their distinct windows, compressed by shard, joins score these once, the scores go back to the blocks in the order of their windows, and each
+block adds up its documents. No table of the model is held as a whole anywhere. The threshold of a language is a quantile of the scores of all its trusted documents outside
 the training half; with fewer than ``LEAST_HELD`` of these it is at least the quantile over all languages, and at least the
 language's mean and the quantile of distances from the means of all; languages without any use the largest threshold. Documents above it are rejected.
 
@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slatecraft.llm.bytegrams import Lookup, by_text, chunks, distinct, encoded, keys, packed, restored, squeezed, stored, unpacked, unsqueezed
+from slatecraft.llm.bytegrams import Lookup, by_text, chunks, dealt, distinct, encoded, keys, restored, shard, squeezed, stored, unsqueezed
 from slatecraft.llm.frames import bucketed, unused, whole_text, written
 
 WIDTH = 6
@@ -32,6 +32,8 @@ SAMPLE_BYTES = 4_000_000
 BLOCK_BYTES = 32_000_000
 #: Buckets of the table of blocks; Spark allows 100,000.
 MOST_BUCKETS = 50_000
+#: Windows that blocks ask for in a shard.
+SHARD_ROWS = 1_000_000
 #: Orders of at most 65,536 n-grams, which a join may broadcast.
 SMALL_ORDERS = 2
 QUANTILE = 0.99
@@ -145,17 +147,58 @@ def blocks(docs: DataFrame, text: str, width: int) -> DataFrame:
     return bucketed(packs, "block", min(number, MOST_BUCKETS))
 
 
-def asked_of(packs: DataFrame) -> DataFrame:
-    """block, key: the distinct windows of each block."""
+def shards_of(packs: DataFrame) -> int:
+    return max(1, -(-(packs.agg(F.sum("n")).first()[0] or 0) // SHARD_ROWS))
 
-    def unpack(batches):
+
+def asked_of(packs: DataFrame, shards: int) -> DataFrame:
+    """shard, block, n, keys: the distinct windows of each block, a row for each shard of them, compressed."""
+
+    def deal(batches):
         import pyarrow as pa
 
         for batch in batches:
             for block, n, data in zip(*(column.to_pylist() for column in batch.columns)):
-                yield pa.record_batch({"block": pa.array(np.full(n, block, np.int64)), "key": pa.array(np.cumsum(unsqueezed(data, n, np.int64)))})
+                key = np.cumsum(unsqueezed(data, n, np.int64))
+                parts = dealt(key, shards)
+                yield pa.record_batch(
+                    {
+                        "shard": pa.array([s for s, _ in parts], pa.int64()),
+                        "block": pa.array(np.full(len(parts), block, np.int64)),
+                        "n": pa.array([len(at) for _, at in parts], pa.int64()),
+                        "keys": pa.array([squeezed(np.diff(key[at], prepend=0)) for _, at in parts], pa.binary()),
+                    }
+                )
+
+    return packs.where("keys IS NOT NULL").select("block", "n", "keys").mapInArrow(deal, "shard long, block long, n long, keys binary")
+
+
+def windows_of(asked: DataFrame) -> DataFrame:
+    """key: every window that some block asks for, once."""
+
+    def once(asks):
+        import pyarrow as pa
+
+        found = [np.cumsum(unsqueezed(data, n, np.int64)) for n, data in zip(asks.column("n").to_pylist(), asks.column("keys").to_pylist())]
+        return pa.table({"key": pa.array(distinct(np.concatenate(found)))})
 
-    return packs.where("keys IS NOT NULL").select("block", "n", "keys").mapInArrow(unpack, "block long, key long")
+    return asked.groupBy("shard").applyInArrow(once, "key long")
+
+
+def answers_of(asked: DataFrame, scores: DataFrame, shards: int) -> DataFrame:
+    """shard, block, numbers: for each row of ``asked`` the lp of its windows, in their order, compressed; the block has the windows."""
+
+    def look_up(asks, found):
+        import pyarrow as pa
+
+        key, lp = found.column("key").to_numpy(), found.column("lp").to_numpy()
+        order = np.argsort(key)
+        key, lp = key[order], lp[order]
+        numbers = [squeezed(lp[np.searchsorted(key, np.cumsum(unsqueezed(data, n, np.int64)))]) for n, data in zip(asks.column("n").to_pylist(), asks.column("keys").to_pylist())]
+        return pa.table({"shard": asks.column("shard"), "block": asks.column("block"), "numbers": pa.array(numbers, pa.binary())})
+
+    there = scores.select(shard(F.col("key"), shards).alias("shard"), "key", "lp")
+    return asked.groupBy("shard").cogroup(there.groupBy("shard")).applyInArrow(look_up, "shard long, block long, numbers binary")
 
 
 def window_scores(asked: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> DataFrame:
@@ -176,29 +219,36 @@ def window_scores(asked: DataFrame, model: list[tuple[DataFrame, DataFrame]]) ->
 
 def scored_blocks(packs: DataFrame, model: list[tuple[DataFrame, DataFrame]], text: str, columns: list[T.StructField], loss: str, size: str, place: tuple[str, ...] = ()) -> DataFrame:
     """Some columns of the documents in ``blocks``, with the text's loss and bytes; ``place`` names block, run and position in it."""
-    asked = asked_of(packs)
-    answers = packed(asked.join(window_scores(asked.select("key").distinct(), model).hint("merge"), "key"))
+    shards = shards_of(packs)
+    asked = asked_of(packs, shards)
+    answers = answers_of(asked, window_scores(windows_of(asked), model), shards)
     width, names = len(model), [f.name for f in columns]
 
     def add_up(texts, found):
         import pyarrow as pa
-
-        key, lp = unpacked(found)
+        import pyarrow.compute as pc
+
+        own = texts.filter(pc.is_valid(texts.column("keys")))  # a row for each block
+        key = np.cumsum(unsqueezed(own.column("keys")[0].as_py(), own.column("n")[0].as_py(), np.int64))
+        lp, places = np.empty(len(key)), dict(dealt(key, shards))
+        for s, numbers in zip(found.column("shard").to_pylist(), found.column("numbers")):
+            lp[places[s]] = unsqueezed(numbers.as_py(), len(places[s]), np.float64)
+        del places
         table = Lookup(key)
         out = []
-        for block, run, data in zip(*(texts.column(c).to_pylist() for c in ("block", "run", "rows"))):
-            rows = restored(data)
+        texts = texts.filter(pc.is_valid(texts.column("rows")))
+        for block, run, data in zip(*(texts.column(c) for c in ("block", "run", "rows"))):  # one at a time: a list would hold them twice
+            rows = restored(data.as_buffer())
             wanted, lengths = keys(list(encoded(rows.column(text))), width)
             here = rows.select(names).append_column(loss, pa.array(-by_text(lp[table.at(wanted)], lengths), pa.float64())).append_column(size, pa.array(lengths, pa.int64()))
-            for name, values in zip(place, (np.full(len(lengths), block, np.int64), np.full(len(lengths), run, np.int32), np.arange(len(lengths), dtype=np.int32))):
+            for name, values in zip(place, (np.full(len(lengths), block.as_py(), np.int64), np.full(len(lengths), run.as_py(), np.int32), np.arange(len(lengths), dtype=np.int32))):
                 here = here.append_column(name, pa.array(values))
             out.append(here)
         return pa.concat_tables(out)
 
     kinds = [T.LongType(), T.IntegerType(), T.IntegerType()]
     schema = T.StructType([*columns, T.StructField(loss, T.DoubleType()), T.StructField(size, T.LongType()), *map(T.StructField, place, kinds)])
-    runs = packs.where("rows IS NOT NULL").select("block", "run", "rows")
-    return runs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(add_up, schema)
+    return packs.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(add_up, schema)
 
 
 def scored(docs: DataFrame, model: list[tuple[DataFrame, DataFrame]], text: str = "text") -> DataFrame:
@@ -229,7 +279,8 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc
     """Scores by document (doc_id, lang, loss, bytes), thresholds by language (lang, mean, threshold), and the model."""
     trusted, training, model = fit(docs, labels, doc_id, text)
     narrow = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), F.col(text).cast("string").alias("text"))
-    scores = written(scored(narrow, model).select("doc_id", "lang", F.col("_loss").alias("loss"), F.col("_bytes").alias("bytes")))
+    judged = [f for f in narrow.schema if f.name != "text"]  # texts stay in their blocks
+    scores = written(scored_blocks(blocks(narrow, "text", len(model)), model, "text", judged, "loss", "bytes"))
     return scores, thresholds_of(scores, trusted, training, quantile), model
 
 

@@ -385,3 +385,39 @@ def test_quality_moves_no_texts(spark, data, tmp_path, monkeypatch):
     assert "text:string" not in plan and "Bucketed: true" in plan
     assert sorted(r["n"] for r in kept.collect()) == list(range(60))
     assert not spark.catalog.listTables() or not any("bucketed_" in t.name for t in spark.catalog.listTables())
+
+
+def test_windows_go_to_their_scores_and_back_by_shard(spark, monkeypatch):
+    """Each window of a block was a row to be joined, and came back with its key; blocks and shards do not change the scores."""
+    import numpy as np
+
+    texts = [f"plain words about the weather {i * 7919} and the sea" for i in range(30)] + ["", None, "qxzä 7%" * 20, "\U0001f600" * 9]
+    table = docs(spark, *texts).repartition(3)
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")
+    model = quality.fit(table, labels, "doc_id", "text")[2]
+    scores = lambda: {r["doc_id"]: (r["_loss"], r["_bytes"]) for r in quality.scored(table, model).collect()}
+    whole = scores()
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(quality, "SHARD_ROWS", 100)
+    packs = quality.blocks(table, "text", len(model))
+    shards = quality.shards_of(packs)
+    asked = quality.asked_of(packs, shards)
+    rows = asked.toPandas()
+    assert shards > 3 and not rows.duplicated(["shard", "block"]).any() and len(rows) < rows["n"].sum()
+    keys = np.unique(bytegrams.keys([(t or "").encode() for t in texts], len(model))[0])
+    assert sorted(r["key"] for r in quality.windows_of(asked).collect()) == keys.tolist()
+    answers = quality.answers_of(asked, quality.window_scores(quality.windows_of(asked), model), shards)
+    assert answers.columns == ["shard", "block", "numbers"] and answers.count() == len(rows)
+    parted = scores()
+    assert parted.keys() == whole.keys()
+    for k, (loss, size) in whole.items():
+        assert parted[k][1] == size and abs(parted[k][0] - loss) < 1e-9 * max(1, loss)
+
+
+def test_quality_scores_without_handing_texts_on(spark, monkeypatch):
+    """The texts came back with their scores, a block of them at once."""
+    asked, whole = [], quality.scored_blocks
+    monkeypatch.setattr(quality, "scored_blocks", lambda *a: asked.append([f.name for f in a[3]]) or whole(*a))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(4)], "doc_id long, quality int, toxic int")
+    scores, _, _ = quality.classify(docs(spark, "One two.", None, "", "one ä"), labels)
+    assert asked == [["doc_id", "lang"]] and scores.columns == ["doc_id", "lang", "loss", "bytes"] and scores.count() == 4
