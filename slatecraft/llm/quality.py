@@ -305,19 +305,19 @@ def keep(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, doc_id:
     )
     scores = written(found)
     thresholds = thresholds_of(scores.select("doc_id", "lang", "loss", "bytes"), trusted, training, quantile)
-    rejected = verdicts(scores.drop("doc_id"), thresholds).where("NOT kept").select("block", "run", "at")
+    rejected = verdicts(scores.drop("doc_id"), thresholds).where("NOT kept").groupBy("block").agg(F.collect_list(F.struct("run", "at")).alias("gone"))
+    # written, so that it has no partitions of its own, by which the texts would be dealt
+    runs = packs.where("rows IS NOT NULL").select("block", "run", "rows").join(written(rejected).hint("merge"), "block", "left")
+    gone = F.transform(F.filter("gone", lambda g: g["run"] == F.col("run")), lambda g: g["at"])
 
-    def left(rows, out):
+    def left(batches):
         import pyarrow as pa
 
-        run, at = (out.column(c).to_numpy() for c in ("run", "at"))
-        kept = []
-        for number, data in zip(*(rows.column(c).to_pylist() for c in ("run", "rows"))):
-            here = restored(data)
-            stays = np.ones(here.num_rows, bool)
-            stays[at[run == number]] = False
-            kept.append(here.filter(pa.array(stays)))
-        return pa.concat_tables(kept)
-
-    runs = packs.where("rows IS NOT NULL").select("block", "run", "rows")
-    return runs.groupBy("block").cogroup(rejected.groupBy("block")).applyInArrow(left, docs.schema)
+        for batch in batches:
+            for data, at in zip(batch.column("rows"), batch.column("gone")):  # a run at a time: no block is ever held as text
+                here = restored(data.as_buffer())
+                stays = np.ones(here.num_rows, bool)
+                stays[at.as_py() or []] = False
+                yield from here.filter(pa.array(stays)).to_batches()
+
+    return runs.select("rows", gone.alias("gone")).mapInArrow(left, docs.schema)

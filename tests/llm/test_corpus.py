@@ -387,6 +387,19 @@ def test_quality_moves_no_texts(spark, data, tmp_path, monkeypatch):
     assert not spark.catalog.listTables() or not any("bucketed_" in t.name for t in spark.catalog.listTables())
 
 
+def test_quality_drops_rows_a_run_at_a_time(spark, tmp_path, monkeypatch):
+    """A block was handed over whole, as text, when its rejected rows went, which took an executor's memory; texts still move nowhere."""
+    monkeypatch.setattr(quality, "BLOCK_BYTES", 300)
+    rows = [(i, "plain words about the weather and the sea " * (1 + i % 3), "en") for i in range(60)] + [(100 + i, "qxzä 7%" * 20, None) for i in range(5)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4).write.parquet(f"{tmp_path}/docs")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    kept = quality.keep(spark.read.parquet(f"{tmp_path}/docs"), labels)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroups" not in plan and "MapInArrow" in plan and "Bucketed: true" in plan
+    assert plan.count("Exchange ") == 1  # the places of the rows that go
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(60))
+
+
 def test_windows_go_to_their_scores_and_back_by_shard(spark, monkeypatch):
     """Each window of a block was a row to be joined, and came back with its key; blocks and shards do not change the scores."""
     import numpy as np
