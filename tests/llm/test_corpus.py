@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -297,6 +298,84 @@ def test_jaccard_chain_keeps_the_middle_link(spark):
         assert found["n_links"].tolist() == [2 if i == 2 else 1 for i in order]
 
 
+def brute_force_links(texts, words=5, least=0.8):
+    """By text: the others that it shares enough shingles with."""
+    sets = [{tuple(t.split()[k : k + words]) for k in range(max(1, len(t.split()) - words + 1))} for t in texts]
+    return [{j for j, b in enumerate(sets) if j != i and len(a & b) >= least * len(a | b) - 1e-6} for i, a in enumerate(sets)]
+
+
+def near_copies(rng, n, groups, longest=60):
+    """Distinct texts that begin as one of a few, some with other words or a longer end."""
+    bases = [[f"w{x}" for x in rng.integers(300, size=rng.integers(3, longest))] for _ in range(groups)]
+    out = set()
+    for _ in range(n):
+        words = list(bases[rng.integers(groups)])
+        for _ in range(rng.integers(0, 3)):
+            words[rng.integers(len(words))] = f"w{rng.integers(300)}"
+        out.add(" ".join(words + [f"w{x}" for x in rng.integers(300, size=rng.integers(0, 12))]))
+    return sorted(out)
+
+
+def test_jaccard_blocks_are_compared_exactly(monkeypatch):
+    monkeypatch.setattr(jaccard, "TILE", 16)
+    rng = np.random.default_rng(3)
+    for trial in range(8):
+        texts, cross = near_copies(rng, 150, 6), trial % 2 == 1
+        own, component, copies = rng.integers(0, 2, len(texts)) * cross, rng.integers(0, 1 + trial // 2, len(texts)), rng.integers(1, 4, len(texts))
+        links = [{j for j in js if component[i] == component[j] and (not cross or own[i] != own[j])} for i, js in enumerate(brute_force_links(texts))]
+        found = jaccard.exact(pd.DataFrame({"component": component, "own": own, "node": np.arange(len(texts)), "copies": copies, "text": texts}), cross, 5, 0.8).set_index("node")
+        assert dict(found["n"]) == {i: sum(copies[j] for j in js) for i, js in enumerate(links) if js}
+        for i, js in enumerate(links):
+            assert all(found["head"][i] == found["head"][j] for j in js)
+
+
+def test_jaccard_work_follows_the_sets_of_a_block():
+    import tracemalloc
+
+    def peak(texts):
+        groups = pd.DataFrame({"component": 1, "own": 0, "node": range(len(texts)), "copies": 1, "text": texts})
+        tracemalloc.start()
+        try:
+            return jaccard.exact(groups, False, 5, 0.8), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    # two short texts took a matrix of four million places
+    found, most = peak(["a b c d e f g h i j", "a b c d e f g h i j k"])
+    assert found["n"].tolist() == [1, 1] and most < 1e6
+    # sets that only begin alike are dropped, not multiplied out with each other
+    begin = " ".join(f"b{i}" for i in range(30))
+    found, most = peak([f"{begin} " + " ".join(f"x{i}_{k}" for k in range(30)) for i in range(1000)])
+    assert found.empty and most < 30e6
+
+
+def test_jaccard_pairs_of_like_size_meet_once(spark):
+    sizes = [int(x) for x in np.random.default_rng(5).integers(1, 120, 150)]
+    rows = spark.createDataFrame([(k, i, x, k == 1) for k in range(2) for i, x in enumerate(sizes)], "path long, node long, size int, large boolean")
+    dealt = jaccard.in_blocks(rows, "path", F.col("large"), F.ceil(F.count("*") / F.lit(8)), 0.8).collect()
+    at = defaultdict(list)
+    for r in dealt:
+        at[r["path"], r["low"], r["high"]].append((r["node"], r["own"]))
+    met = Counter((path, min(a, b), max(a, b)) for (path, low, high), some in at.items() for k, (a, mine) in enumerate(some) for b, theirs in some[:k] if low == high or mine != theirs)
+    assert max(met.values()) == 1
+    pairs = [(a, b) for a in range(len(sizes)) for b in range(a + 1, len(sizes))]
+    assert all((0, a, b) in met for a, b in pairs)
+    assert all((1, a, b) in met for a, b in pairs if min(sizes[a], sizes[b]) >= 0.8 * max(sizes[a], sizes[b]))
+    assert sum(path for path, _, _ in met) < 0.6 * len(pairs)
+
+
+def test_jaccard_of_large_paths_and_components_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = near_copies(rng, 300, 3, 80)
+    for name, value in (("BLOCK", 16), ("SMALL", 8), ("BLOCK_SETS", 20)):
+        monkeypatch.setattr(jaccard, name, value)
+    found = jaccard.join(docs(spark, *texts)).toPandas().sort_values("doc_id")
+    links = brute_force_links(texts)
+    assert found["n_links"].tolist() == [len(x) for x in links]
+    classes = found["class_id"].tolist()
+    assert all(classes[i] == classes[j] for i, js in enumerate(links) for j in js)
+
+
 def test_components_of_chains_and_rounds(spark, monkeypatch):
     from slatecraft.llm import components as module
 
